@@ -97,15 +97,16 @@ def _into(token: str, target: str) -> str | None:
     return unicodedata.normalize("NFC", "".join(out))
 
 
-def suspects(text: str) -> tuple[list[tuple[str, str]], list[str]]:
-    """(tokens that may be repaired with their repaired form, all other tokens) of a unified text.
+def suspects(text: str) -> tuple[list[tuple[str, str, int]], list[str]]:
+    """(tokens that may be repaired, their repaired form, its preference; all other tokens) of a unified text.
 
     A token with letters of several scripts is suspect towards its dominant
-    script; a tie goes to the text's dominant script. So is a token wholly of
-    another script than its text's if each of its letters has a look-alike
-    there: it mixes scripts with its neighbours.
+    script (preference 0) and, where that is another, towards the text's
+    (preference 1), since a word may have most of its letters replaced. So is a
+    token wholly of another script than its text's if each of its letters has a
+    look-alike there: it mixes scripts with its neighbours.
     """
-    found: dict[str, str] = {}
+    found: set[tuple[str, str, int]] = set()
     clean: set[str] = set()
     around = None
     for token in set(_TOKEN.findall(text)):
@@ -115,15 +116,13 @@ def suspects(text: str) -> tuple[list[tuple[str, str]], list[str]]:
         own, mixed = _dominant(token)
         if around is None:
             around = _dominant(text)[0]
-        target = (own or around) if mixed else around if own and own != around else None
-        fixed = _into(token, target) if target else None
-        if fixed is None and mixed and around and target != around:
-            fixed = _into(token, around)
-        if fixed is not None and fixed != token:
-            found[token] = fixed
+        targets = dict.fromkeys([own, around] if mixed else [around] if own and own != around else [])
+        forms = [(f, n) for n, t in enumerate(t for t in targets if t) if (f := _into(token, t)) is not None and f != token]
+        if forms:
+            found.update((token, f, n) for f, n in forms)
         elif not mixed:
             clean.add(token)
-    return sorted(found.items()), sorted(clean)
+    return sorted(found), sorted(clean)
 
 
 def repair(text: str, replacements: dict[str, str]) -> str:
@@ -136,8 +135,8 @@ def needs_care(c: Column) -> Column:
     return (F.octet_length(c) != F.char_length(c)) | c.rlike(r"[\x00-\x09\x0b-\x1f\x7f]")
 
 
-UNIFIED = "field_name STRING, para_id BIGINT, raw_hash BIGINT, form STRING, fixes ARRAY<STRUCT<token: STRING, fixed: STRING>>, tokens ARRAY<STRING>"
-_FIXES = pa.list_(pa.struct([("token", pa.string()), ("fixed", pa.string())]))
+UNIFIED = "field_name STRING, para_id BIGINT, raw_hash BIGINT, form STRING, fixes ARRAY<STRUCT<token: STRING, fixed: STRING, pref: INT>>, tokens ARRAY<STRING>"
+_FIXES = pa.list_(pa.struct([("token", pa.string()), ("fixed", pa.string()), ("pref", pa.int32())]))
 
 
 def _unified(values: DataFrame) -> DataFrame:
@@ -147,7 +146,7 @@ def _unified(values: DataFrame) -> DataFrame:
             for t in b.column(3).to_pylist():
                 forms.append(u := unify(t))
                 f, clean = suspects(u)
-                fixes.append([{"token": a, "fixed": z} for a, z in f])
+                fixes.append([{"token": a, "fixed": z, "pref": n} for a, z, n in f])
                 tokens.append(clean)
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(forms, pa.string()), pa.array(fixes, _FIXES), pa.array(tokens, pa.list_(pa.string()))], ["field_name", "para_id", "raw_hash", "form", "fixes", "tokens"])
 
@@ -178,8 +177,8 @@ def one_form(paragraphs: DataFrame) -> tuple[DataFrame, DataFrame]:
     Plain ASCII never leaves the JVM. The rest is unified in Python and written
     once; of its suspect tokens those are repaired whose repaired form stands in
     the corpus vocabulary, that is as an unmixed token anywhere in the corpus, or
-    as the common reading of two different mixed spellings (then the clean word
-    needn't stand anywhere). The vocabulary meets the suspects in a join whose
+    else as the common reading of two different mixed spellings (then the clean
+    word needn't stand anywhere). The vocabulary meets the suspects in a join whose
     side of suspects Spark broadcasts only if it measures it as small; nothing
     comes to the driver. A paragraph without suspects isn't shuffled.
     """
@@ -190,15 +189,16 @@ def one_form(paragraphs: DataFrame) -> tuple[DataFrame, DataFrame]:
     at = scratch(spark, "unified")
     _unified(care).write.parquet(at)
     unified = spark.read.schema(UNIFIED).parquet(at)
-    pairs = unified.select(F.explode("fixes").alias("f")).select("f.token", "f.fixed").distinct()
+    pairs = unified.select(F.explode("fixes").alias("f")).select("f.*").groupBy("token", "fixed").agg(F.min("pref").alias("pref"))
     wanted = pairs.groupBy("fixed").agg(F.count(F.lit(1)).alias("n"))
     words = (
         plain.where("field_name = 'text'").select(F.explode(F.regexp_extract_all("form", F.lit(TOKEN_SQL), 0)).alias("fixed"))
         .unionByName(unified.select(F.explode("tokens").alias("fixed")))
         .distinct()
     )
-    attested = wanted.where("n > 1").select("fixed").unionByName(words.join(wanted.where("n = 1"), "fixed", "left_semi").select("fixed"))
-    good = pairs.join(attested, "fixed")
+    stands = words.join(wanted.select("fixed"), "fixed", "left_semi").select("fixed", F.lit(0).alias("kind"))
+    attested = stands.unionByName(wanted.where("n > 1").select("fixed", F.lit(1).alias("kind")))
+    good = pairs.join(attested, "fixed").groupBy("token").agg(F.min_by("fixed", F.struct("kind", "pref", "fixed")).alias("fixed"))
     fixes = (
         unified.select("field_name", "para_id", "raw_hash", F.explode("fixes").alias("f")).select("field_name", "para_id", "raw_hash", "f.token")
         .distinct().join(good, "token").groupBy("field_name", "para_id", "raw_hash").agg(F.collect_list(F.struct("token", "fixed")).alias("good"))
