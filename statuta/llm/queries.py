@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from statuta.llm import encode, lookalike, pack, split, survivor
+from statuta.llm import encode, lookalike, pack, split, survivor, truncated
 from statuta.session import scratch
 from statuta.sources.tables import table
 
@@ -73,7 +72,21 @@ def p8_filling(spark: SparkSession, d: str) -> DataFrame:
     return pack.filling(p8_pack(spark, d))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_classes, p2_forms, p5_found, p5_pieces, p6_found, p6_survivors, p7_ids, p8_pack, p8_filling)}
+def _told(spark: SparkSession, d: str) -> DataFrame:
+    return truncated.judged(table(spark, d, "documents"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that were cut: doc_id."""
+    return _told(spark, d).where("cut").select("doc_id")
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source cuts: source, n_texts, n_cut, share_cut."""
+    return truncated.cut_share(_told(spark, d))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_classes, p2_forms, p5_found, p5_pieces, p6_found, p6_survivors, p7_ids, p8_pack, p8_filling, p9_found, p9_report)}
 
 _SPACE = r"[\s\x{000B}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _STAND_INS = ", ".join("'" + s + "'" for s in survivor.STAND_INS)
