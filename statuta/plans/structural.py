@@ -8,7 +8,7 @@ from statuta.functions.patterns import re2, sql_leftmost, sql_matches
 from statuta.operators import annotate as an
 from statuta.operators import classify as cl
 from statuta.operators import structure as st
-from statuta.plans.derived import ONCE_SQL, RAW, STREAM, derive, duck, once
+from statuta.plans.derived import ONCE_SQL, RAW, REFERRING_SQL, STREAM, derive, duck, once, referring
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -256,31 +256,31 @@ def _spans_sql(patterns, columns: str = "starts_at, starts_at + length(matched)
     c = sql_matches("text", patterns)
     if drop:
         c = f"list_filter({c}, lambda m: {drop})"
-    return f"SELECT para_id, {columns} FROM (SELECT para_id, m.starts_at AS starts_at, m.kind AS kind, m.matched AS matched, m.note AS note FROM (SELECT para_id, unnest({sql_leftmost(c)}) AS m FROM {ONCE_SQL} WHERE text IS NOT NULL)) WHERE {keep}"
+    return f"SELECT para_id, {columns} FROM (SELECT para_id, m.starts_at AS starts_at, m.kind AS kind, m.matched AS matched, m.note AS note FROM (SELECT para_id, unnest({sql_leftmost(c)}) AS m FROM {REFERRING_SQL} WHERE text IS NOT NULL)) WHERE {keep}"
 
 
 @query(_spans_sql(an.QUANTITIES, "starts_at, starts_at + length(matched) AS ends_at, kind, matched, note, '/ontology/concept/au/' || kind AS concept"))
 def quantities(spark, d):
     """F22, W16."""
-    return an.quantities(once(spark, d))
+    return an.quantities(referring(spark, d))
 
 
 @query(_spans_sql(an.ROLES))
 def roles(spark, d):
     """F23, W16."""
-    return an.roles(once(spark, d))
+    return an.roles(referring(spark, d))
 
 
 @query(f"SELECT DISTINCT kind AS eid, '/ontology/roles/au/' || kind AS href, note AS show_as FROM ({_spans_sql(an.ROLES)})")
 def role_registry(spark, d):
     """A6, J11."""
-    return an.registry(an.roles(once(spark, d)), "/ontology/roles/au/")
+    return an.registry(an.roles(referring(spark, d)), "/ontology/roles/au/")
 
 
 @query(f"SELECT DISTINCT kind AS eid, '/ontology/concept/au/' || kind AS href, note AS show_as FROM ({_spans_sql(an.QUANTITIES)})")
 def concept_registry(spark, d):
     """A6, J11."""
-    return an.registry(an.quantities(once(spark, d)), "/ontology/concept/au/")
+    return an.registry(an.quantities(referring(spark, d)), "/ontology/concept/au/")
 
 
 _MONTH = "CASE lower(regexp_extract(matched, {p}, 2)) " + " ".join(f"WHEN '{m.lower()}' THEN '{i:02}'" for i, m in enumerate(an.MONTHS, 1)) + " END"
@@ -292,13 +292,13 @@ _ISO = f"""CASE WHEN kind = 'dmy' THEN regexp_extract(matched, {_DMY}, 3) || '-'
 @query(f"SELECT *, CASE WHEN iso IS NOT NULL THEN try_cast(iso AS DATE) IS NOT NULL END AS is_valid FROM ({_spans_sql(an.DATES, 'starts_at, starts_at + length(matched) AS ends_at, kind, matched, note, ' + _ISO + ' AS iso')})")
 def dates(spark, d):
     """F24, W16."""
-    return an.dates(once(spark, d))
+    return an.dates(referring(spark, d))
 
 
 @query(f"SELECT para_id, starts_at, ends_at, matched, '#note-' || n AS href, n AS marker FROM ({_spans_sql([an.NOTE_REF], 'starts_at, starts_at + length(matched) AS ends_at, matched, regexp_extract(matched, ' + an.NOTE_REF.re2 + ', 1) AS n')})")
 def note_refs(spark, d):
     """F25."""
-    return an.note_refs(once(spark, d))
+    return an.note_refs(referring(spark, d))
 
 
 _SQL_REFS = [p if p.kind != "part_div" else an.Pattern("part_div", r"\b(Part|Division)\s+[\dIVXA-Z]+(?:\s+of\s+the)?") for p in an.REFS]
@@ -317,10 +317,10 @@ _REFS_SQL = _spans_sql(_SQL_REFS, f"starts_at, starts_at + length(matched) AS en
 @query(_REFS_SQL)
 def references(spark, d):
     """References inside an Act and by name."""
-    return an.references(once(spark, d))
+    return an.references(referring(spark, d))
 
 
 @query(f"SELECT kind, count(*) AS n, count(DISTINCT para_id) AS n_paragraphs FROM ({_REFS_SQL}) GROUP BY kind")
 def reference_counts(spark, d):
     """what the reference pass counts."""
-    return an.references(once(spark, d)).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("para_id").alias("n_paragraphs"))
+    return an.references(referring(spark, d)).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("para_id").alias("n_paragraphs"))
