@@ -113,7 +113,7 @@ class ChainStore:
     def _read(self, kind: str, dirs: list[str], buckets: list[int] | None = None) -> DataFrame | None:
         if not dirs:
             return None
-        df = self.spark.read.schema(self._schemas[kind]).parquet(*[f"{self.root}/{d}" for d in dirs])
+        df = self.spark.read.schema(self._schemas[kind]).option("basePath", f"{self.root}/{kind}").parquet(*[f"{self.root}/{d}" for d in dirs]).drop("batch")
         return df if buckets is None else df.where(F.col("bucket").isin(buckets))
 
     @property
@@ -127,7 +127,7 @@ class ChainStore:
     def apply(self, changes: DataFrame) -> None:
         """Adds changes (late, corrected or new) and replaces the chains they touch. No rows: nothing changes."""
         m, tag = self._manifest(), uuid.uuid4().hex
-        raw_dir, hist_dir = f"raw/{tag}", f"history/{tag}"
+        raw_dir, hist_dir = f"raw/batch={tag}", f"history/batch={tag}"
         keyed = changes.select(*RAW).where("title_id IS NOT NULL AND snapshot_date IS NOT NULL").withColumn("bucket", self._bucket())
         keyed.repartition("bucket", F.pmod(F.xxhash64("title_id", "snapshot_date"), F.lit(4))).write.partitionBy("bucket").parquet(f"{self.root}/{raw_dir}")
         new = self._read("raw", [raw_dir])
