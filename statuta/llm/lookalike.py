@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -70,17 +71,15 @@ def unify(text: str) -> str:
     return unicodedata.normalize("NFC", "".join(map(_plain, text.replace("\r\n", "\n").replace("\r", "\n"))))
 
 
-def _dominant(token: str) -> tuple[str, bool]:
-    """The script with most letters ('' for a tie), and whether there is more than one."""
-    counts: dict[str, int] = {}
-    for c in token:
-        if s := script(c):
-            counts[s] = counts.get(s, 0) + 1
-    if not counts:
-        return "", False
-    top = max(counts.values())
-    best = [s for s, n in counts.items() if n == top]
-    return (best[0] if len(best) == 1 else ""), len(counts) > 1
+def _scripts(text: str) -> Counter[str]:
+    """How many letters there are of each script."""
+    return Counter(s for c in text if (s := script(c)))
+
+
+def _dominant(counts: Counter[str]) -> str:
+    """The script with most letters, '' for none or a tie."""
+    top = counts.most_common(2)
+    return top[0][0] if len(top) == 1 or top and top[0][1] > top[1][1] else ""
 
 
 def _into(token: str, target: str) -> str | None:
@@ -101,21 +100,24 @@ def suspects(text: str) -> tuple[list[tuple[str, str, int]], list[str]]:
     """(tokens that may be repaired, their repaired form, its preference; all other tokens) of a unified text.
 
     A token with letters of several scripts is suspect towards its dominant
-    script (preference 0) and, where that is another, towards the text's
-    (preference 1), since a word may have most of its letters replaced. So is a
-    token wholly of another script than its text's if each of its letters has a
-    look-alike there: it mixes scripts with its neighbours.
+    script (preference 0) and, where that is another, towards that of the rest
+    of the text (preference 1), since a word may have most of its letters
+    replaced. So is a token wholly of another script than the rest of its text
+    if each of its letters has a look-alike there: it mixes scripts with its
+    neighbours.
     """
     found: set[tuple[str, str, int]] = set()
     clean: set[str] = set()
-    around = None
-    for token in set(_TOKEN.findall(text)):
+    tokens = Counter(_TOKEN.findall(text))
+    whole = None
+    for token, times in tokens.items():
         if token.isascii():
             clean.add(token)
             continue
-        own, mixed = _dominant(token)
-        if around is None:
-            around = _dominant(text)[0]
+        scripts = _scripts(token)
+        own, mixed = _dominant(scripts), len(scripts) > 1
+        whole = _scripts(text) if whole is None else whole
+        around = _dominant(whole - Counter({k: n * times for k, n in scripts.items()}))
         targets = dict.fromkeys([own, around] if mixed else [around] if own and own != around else [])
         forms = [(f, n) for n, t in enumerate(t for t in targets if t) if (f := _into(token, t)) is not None and f != token]
         if forms:
