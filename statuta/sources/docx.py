@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuta.operators import classify as cl
+from statuta.session import scratch
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
@@ -118,8 +119,10 @@ def paragraphs(files: DataFrame) -> DataFrame:
     figures, tables tables; a body row with a list level becomes a list item
     numbered by its level.
     """
-    raw = raw_paragraphs(files).join(files.select("path", "act_id", "volume_index"), "path").where("error IS NULL")
-    raw = raw.withColumn("para_id", F.xxhash64("path", "ord"))
+    # Written once: what follows reads the rows several times, and a document should be unpacked only once.
+    at = scratch(files.sparkSession, "raw")
+    raw_paragraphs(files).join(files.select("path", "act_id", "volume_index"), "path").where("error IS NULL").withColumn("para_id", F.xxhash64("path", "ord")).write.parquet(at)
+    raw = files.sparkSession.read.parquet(at)
     legacy = cl.legacy_documents(raw.where("NOT is_table"))
     flow = raw.join(legacy, ["act_id", "volume_index"], "left")
     special = flow.where("is_table OR has_image").select("para_id", "act_id", "volume_index", "ord", F.lit(0).alias("part_no"), F.when(F.col("is_table"), "table").otherwise("figure").alias("element_type"), F.lit("").alias("number"), F.lit("").alias("heading"), F.col("text"))

@@ -52,8 +52,8 @@ def test_build(spark, folder):
     empty = spark.createDataFrame([], "name STRING, frbr_uri STRING, title_id STRING")
     made = api.build(api.paragraph_stream(spark, folder), empty)
     assert {r.eid for r in made["nodes"].collect()} == {"sec-6", "sec-6__subsec-1", "sec-1"}
-    for df in made.values():
-        df.collect()
+    assert {r.region for r in made["regions"].collect()} == {"body"}
+    assert made["references"].count() == 0
 
 
 def test_files(spark, tmp_path):
