@@ -12,7 +12,7 @@ from statuta.operators import structure as st
 from statuta.operators.corpus import YEAR_AT_END
 from statuta.plans import legislative as lg
 from statuta.plans import structural as sn
-from statuta.plans.derived import REFERRING_SQL, STREAM, derive, duck, referring
+from statuta.plans.derived import REFERRING_SQL, STREAM, derive, referring
 from statuta.sources.tables import table
 
 Q: dict = {}
