@@ -30,6 +30,11 @@ def absent(c: Column) -> Column:
     return F.coalesce(F.lower(strip(c)).isin(STAND_INS), F.lit(True))
 
 
+def dateless(c: Column) -> Column:
+    """Absent, or without a letter or a digit but 0, as in '0000-00-00': no date."""
+    return absent(c) | ~c.rlike(r"(?U)[^\W_0]")
+
+
 def title_of(c: Column) -> Column:
     """A title id in upper case without blanks; null where it is absent."""
     return F.when(~absent(c), F.upper(F.regexp_replace(c, r"(?U)\s+", "")))
@@ -49,7 +54,7 @@ def grouped(entries: DataFrame, trust: DataFrame) -> DataFrame:
     """
     e = entries.select("entry_id", "title_id", "aliases", "source_format", "fetched_at", *FIELDS).dropDuplicates(["entry_id"])
     t = trust.select(F.lower(strip(F.col("source_format"))).alias("fmt"), "trust").dropna().groupBy("fmt").agg(F.max("trust").alias("trust"))
-    e = e.withColumns({f: F.when(~absent(F.col(f)), F.col(f)) for f in FIELDS})
+    e = e.withColumns({f: F.when(~(dateless if f == "effective_date" else absent)(F.col(f)), F.col(f)) for f in FIELDS})
     e = e.withColumns({"own": title_of(F.col("title_id")), "fmt": F.lower(strip(F.col("source_format"))), "aliases": F.filter("aliases", lambda a: ~absent(a))})
     e = e.join(t, "fmt", "left").withColumn(
         "rank", F.struct((-F.coalesce("trust", F.lit(0))).alias("t"), F.col("fetched_at").isNull().alias("n"), F.coalesce(-F.unix_micros(F.col("fetched_at").cast("timestamp")), F.lit(0)).alias("f"), F.col("entry_id").alias("e"))

@@ -74,3 +74,13 @@ def test_survivors_and_empty(spark):
 def test_consensus_keeps_to_weight():
     assert sv.consensus(["The Best Act 1999", "A Worse Act 1999", "A Worse Act 1999 ", "A Worse Act"]) == 0
     assert sv.consensus(["x"]) == 0 and sv.consensus(["", "a b"]) == 0
+
+
+def test_zero_dates_are_absent(spark):
+    rows = [
+        (1, "T", "A", None, "0000-00-00", None, None, "docx", T[1]), (2, "T", "A", None, "2020-01-01", None, None, "ocr", T[0]),
+        (3, "U", "B", None, " 00/00/0000 ", None, None, "docx", T[0]), (4, "U", "B", "0", "0", None, None, "ocr", T[0]), (5, "V", "C", None, "0000-00-00", None, None, "docx", T[1]), (6, "V", "C", None, "2000-10-10", None, None, "ocr", T[0]),
+    ]
+    got = {(r.title_id, r.field_name, r.entry_id) for r in sv.surviving(sv.grouped(frame(spark, rows), trust(spark))).where("field_name <> 'name'").collect()}
+    assert got == {("T", "effective_date", 2), ("U", "comp_num", 4), ("V", "effective_date", 6)}
+    assert {r.title_id: r.effective_date for r in sv.survivors(frame(spark, rows), trust(spark)).collect()} == {"T": "2020-01-01", "U": None, "V": "2000-10-10"}
