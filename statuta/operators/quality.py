@@ -128,24 +128,36 @@ def latest_reports(reports: DataFrame) -> DataFrame:
     return reports.groupBy("title_id").agg(F.max_by("report_id", F.struct("built_at", "report_id")).alias("report_id"))
 
 
-def node_checks(nodes: DataFrame, acts: DataFrame, reports: DataFrame, baseline: DataFrame) -> DataFrame:
+#: Counters of a parse report, and the checks that what they count is there.
+CONDITIONAL = {"dates_found": ["dates present"], "amendment_events_parsed": ["lifecycle present", "temporalData present"]}
+
+
+def node_checks(nodes: DataFrame, acts: DataFrame, reports: DataFrame, baseline: DataFrame, made: dict[str, DataFrame], notes: DataFrame, metadata: DataFrame) -> DataFrame:
     """act_id, check: the failed checks of each Act.
 
     nodes: act_id, element_type, eid; acts: act_id, effective_date, number,
-    doc_type; reports: act_id, volumes_fetched, subsections_parsed; baseline:
-    act_id of Acts known to have no sections.
+    doc_type; reports: act_id, volumes_fetched, subsections_parsed and the
+    counters of CONDITIONAL; baseline: act_id of Acts known to have no sections;
+    made: of each check of CONDITIONAL the act_id of every element; notes:
+    act_id, eid; metadata: act_id, xml.
     """
     per = nodes.groupBy("act_id").agg(
         F.count_if((F.col("element_type") == "subsec") & ~F.contains("eid", F.lit("__subsec-"))).alias("flat"),
         F.count_if((F.col("element_type") == "section") & (F.coalesce("eid", F.lit("")) != "")).alias("n_sections"),
         F.count_if(F.col("element_type") == "subsec").alias("n_subsecs"),
     )
-    a = acts.select("act_id", "effective_date", "number", "doc_type").dropDuplicates(["act_id"]).join(per, "act_id", "left").join(reports.select("act_id", "volumes_fetched", "subsections_parsed").dropDuplicates(["act_id"]), "act_id", "left")
+    a = acts.select("act_id", "effective_date", "number", "doc_type").dropDuplicates(["act_id"]).join(per, "act_id", "left").join(reports.select("act_id", "volumes_fetched", "subsections_parsed", *CONDITIONAL).dropDuplicates(["act_id"]), "act_id", "left")
+    marks = [d.select("act_id", F.lit(k).alias("mark")) for k, d in made.items()] + [notes.where(~F.startswith("eid", F.lit("note-"))).select("act_id", F.lit("note").alias("mark"))]
+    a = a.join(reduce(DataFrame.unionByName, marks).groupBy("act_id").agg(F.collect_set("mark").alias("marks")), "act_id", "left")
+    countries = F.regexp_extract_all("xml", F.lit('<FRBRcountry value="([^"]*)"'), 1)
+    a = a.join(metadata.select("act_id", countries.alias("countries")).dropDuplicates(["act_id"]), "act_id", "left")
     a = a.join(baseline.select("act_id", F.lit(True).alias("known")).distinct(), "act_id", "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
+    marked = lambda k: F.coalesce(F.array_contains("marks", k), F.lit(False))
     checks = {
         "date": F.col("effective_date").isNull(), "number": F.col("number").isNull(), "subtype": F.coalesce("doc_type", F.lit("")) != "act", "subsections nested": zero("flat") > 0,
         "volumes": F.coalesce("volumes_fetched", F.lit(0)) < 1, "subsections present": (zero("subsections_parsed") > 0) & (zero("n_subsecs") == 0), "sections": (zero("n_sections") == 0) & F.col("known").isNull(),
+        **{k: (zero(n) > 0) & ~marked(k) for n, ks in CONDITIONAL.items() for k in ks}, "country": ~F.col("countries").eqNullSafe(F.array(F.lit("au"))), "note ids": marked("note"),
     }
     failed = F.filter(F.array(*[F.when(c, k) for k, c in checks.items()]), lambda x: x.isNotNull())
     return a.select("act_id", F.explode(failed).alias("check"))

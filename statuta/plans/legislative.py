@@ -185,7 +185,11 @@ _HAS = {n: " OR ".join(f"regexp_matches(text, {p.re2})" for p in ps) for n, ps i
  WHEN regexp_matches(text, {re2(r'\*\w')}) THEN 'ast' WHEN {_HAS['qty']} THEN 'qty' WHEN {_HAS['date']} THEN 'date' WHEN {_HAS['role']} THEN 'role' END AS claim FROM {_WITH_DEF}""")
 def annotation_claims(spark, d):
     """The order of the passes: which one may mark up a paragraph."""
-    s = te.with_section(_defining(spark, d))
+    return claims(_defining(spark, d))
+
+
+def claims(rows):
+    s = te.with_section(rows)
     here = F.col("defines") & ~F.col("element_type").isin(te._BLOCKS)
     return an.claims(s, here & te.definition(F.col("text"), F.col("spans")).isNotNull(), here & te.list_definition(F.col("text")).isNotNull())
 
