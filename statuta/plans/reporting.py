@@ -156,8 +156,9 @@ def _failures(spark, d):
     events = table(spark, d, "amendment_events").withColumnRenamed("report_id", "act_id")
     life = am.lifecycle(events).select(F.col("act_id").alias("report_id")).distinct().join(reports.select("report_id", "act_id").distinct(), "report_id")
     made = {"dates present": dates, "lifecycle present": life, "temporalData present": life}
+    # The tables hold no list of Acts known to have no sections, so none is excused.
     xml = re_.metadata_xml(acts.withColumnRenamed("act_id", "title_id"), "2000-01-01").withColumnRenamed("title_id", "act_id")
-    return qu.node_checks(st.hierarchy(s), acts, reports, acts.where("number % 10 = 0"), made, st.numbered(s, "note", "note"), xml)
+    return qu.node_checks(st.hierarchy(s), acts, reports, acts.limit(0), made, st.numbered(s, "note", "note"), xml)
 
 
 _CHECKS = f"""(SELECT act_id, unnest(list_filter([CASE WHEN effective_date IS NULL THEN 'date' END, CASE WHEN number IS NULL THEN 'number' END, CASE WHEN coalesce(doc_type, '') <> 'act' THEN 'subtype' END, CASE WHEN coalesce(flat, 0) > 0 THEN 'subsections nested' END,

@@ -1,6 +1,12 @@
 from datetime import date
+from pathlib import Path
+
+import pytest
 
 from statuta.operators import quality as q
+from statuta.plans import reporting
+
+SF = "/root/testdata/sf0.01"
 
 ACTS = "act_id STRING, effective_date DATE, number INT, doc_type STRING"
 REPORTS = "act_id STRING, volumes_fetched INT, subsections_parsed INT, dates_found INT, amendment_events_parsed INT"
@@ -26,3 +32,18 @@ def test_what_the_report_counts_is_there(spark):
 def test_country_and_note_ids(spark):
     nodes, reports = [(a, "section", "sec-1") for a in "AB"], [(a, 1, 0, 0, 0) for a in "AB"]
     assert checks(spark, "AB", nodes, reports, notes=[("A", "note-1"), ("A", "fn-2"), ("B", "note-1")], countries={"B": "nz"}) == {("A", "note ids"), ("B", "country")}
+
+
+def test_baseline_excuses_its_acts_only(spark):
+    reports = [(a, 1, 0, 0, 0) for a in "ABC"]
+    assert checks(spark, "ABC", [("C", "section", "sec-1")], reports, baseline=["A", "A", "C", "X"]) == {("B", "sections")}
+    assert checks(spark, "ABC", [("C", "section", "sec-1")], reports) == {("A", "sections"), ("B", "sections")}
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no test data here")
+def test_no_act_is_excused_by_its_number(spark):
+    acts = spark.read.parquet(f"{SF}/acts.parquet")
+    bare = {r.act_id for r in reporting.quality_checks(spark, SF).where("check = 'sections'").collect()}
+    have = {r.act_id for r in spark.read.parquet(f"{SF}/paragraphs.parquet").where("element_type = 'section'").select("act_id").distinct().collect()}
+    assert bare == {r.title_id for r in acts.select("title_id").distinct().collect()} - have
+    assert acts.where("number % 10 = 0").where(acts.title_id.isin(list(bare))).count() > 0
