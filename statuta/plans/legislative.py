@@ -241,7 +241,7 @@ def passive_mods(spark, d):
     """F29, J5, J6, W13."""
     ev = _events(spark, d).withColumn("ord", F.col("row_ord") * 10000 + F.col("seg_no") * 100 + F.col("num_no"))
     step = F.nullif(F.regexp_extract("provision", am.java(am.PROVISION, True), 1), F.lit(""))
-    raw = table(spark, d, "amendment_events").where("event_id % 3 > 0")
+    raw = table(spark, d, "amendment_events")
     known = raw.select(F.col("report_id").alias("act_id"), F.concat(F.when(F.col("event_id") % 2 == 0, "sec-").otherwise("SEC-"), step).alias("eid")).distinct()
     return am.passive_mods(ev, known, ["ord"])
 

@@ -1,4 +1,11 @@
+from pathlib import Path
+
+import pytest
+
 from statuta.operators import amendments as a
+from statuta.plans import legislative
+
+SF = "/root/testdata/sf0.001"
 
 
 def cells(spark, *rows):
@@ -32,3 +39,17 @@ def test_lifecycle_and_mods(spark):
     ev = ev.selectExpr("*", "row_ord * 10 + seg_no AS o")
     got = [(r.mod_no, r.mod_type, r.dest_eid) for r in a.passive_mods(ev, known, ["o"]).orderBy("o").collect()]
     assert got == [(1, "substitution", "sec-6"), (2, "repeal", "sec-7A"), (3, "repeal", "sec-7A"), (None, "insertion", None)]
+
+
+def test_unresolved_mods(spark):
+    ev = a.events(a.provisions_filled(cells(spark, ("s 6", "am No 70, 2000"), ("s 8", "rep No 70, 2000"), ("Part IX", "ad No 3, 1990"), ("s 7", "am No 3, 1990"))))
+    known = spark.createDataFrame([("A", "sec-6"), ("A", "SEC-7"), ("B", "sec-8")], "act_id STRING, eid STRING")
+    got = [(r.mod_no, r.dest_eid, r.provision) for r in a.passive_mods(ev, known, ["row_ord"]).orderBy("row_ord").collect()]
+    assert got == [(1, "sec-6", "s 6"), (None, None, "s 8"), (None, None, "Part IX"), (2, "SEC-7", "s 7")]
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no test data here")
+def test_every_event_gives_a_known_identifier(spark):
+    mods = legislative.passive_mods(spark, SF)
+    assert mods.where("dest_eid IS NULL AND provision RLIKE '^s \\\\d+[A-Z]*$'").count() == 0
+    assert mods.where("dest_eid IS NOT NULL").count() > 0
