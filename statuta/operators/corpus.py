@@ -130,18 +130,26 @@ def merge_titles(entries: DataFrame, canonical: DataFrame) -> tuple[DataFrame, D
     return merged, orphans
 
 
-def upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The index after entries of the same slug, or of the same title under another slug, gave way to incoming ones.
-
-    Both: slug, title_id, name, aliases. What gave way leaves its names as aliases of the new entry.
+def upsert(existing: DataFrame, incoming: DataFrame, order: str | None = None) -> DataFrame:
+    """The index after incoming entries came in one by one, each in place of the entry of its slug and of those of its title under another slug.
+
+    Both: slug, title_id, name, aliases; order is a whole number of incoming,
+    needed where a slug or title comes in more than once. What gave way to its
+    own title under another slug leaves its names as aliases, through any number
+    of renamings. As in the reference, what is overwritten under its own slug
+    leaves none.
     """
-    inc = incoming.select("slug", "title_id", "name", "aliases")
-    by_title = existing.join(inc.select("title_id", F.col("slug").alias("new_slug")), "title_id").where("slug <> new_slug")
-    old = by_title.select("new_slug", F.explode(F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("x")).groupBy(F.col("new_slug").alias("slug")).agg(F.collect_set("x").alias("old"))
-    kept = existing.join(inc.select("slug"), "slug", "left_anti").join(inc.select("title_id"), "title_id", "left_anti")
-    both = F.array_union(F.coalesce("aliases", F.array().cast("array<string>")), F.coalesce("old", F.array().cast("array<string>")))
-    new = inc.join(old, "slug", "left").select("slug", "title_id", "name", F.array_sort(F.array_remove(both, F.col("name"))).alias("aliases"))
-    return kept.select("slug", "title_id", "name", F.array_sort(F.coalesce("aliases", F.array().cast("array<string>"))).alias("aliases")).unionByName(new)
+    cols = ["slug", "title_id", "name", "aliases"]
+    e = existing.select(*cols, F.lit(-(2**62)).alias("o")).unionByName(incoming.select(*cols, (F.col(order) if order else F.lit(0)).cast("bigint").alias("o")))
+    after = lambda key: W.partitionBy(key).orderBy(F.desc("o")).rangeBetween(W.unboundedPreceding, -1)
+    e = e.withColumn("taken", F.min("o").over(after("slug"))).withColumn("next", F.min(F.struct("o", "slug")).over(after("title_id")))
+    handed = F.col("next").isNull() | (F.coalesce(F.col("next.o") <= F.col("taken"), F.lit(True)) & (F.col("next.slug") != F.col("slug")))
+    e = e.withColumn("handed", handed).withColumn("kept", F.col("handed") & F.coalesce(F.min("handed").over(after("title_id")), F.lit(True)))
+    none = F.array().cast("array<string>")
+    old = e.where("next IS NOT NULL AND kept").select("title_id", F.explode(F.array_union(F.array("name"), F.coalesce("aliases", none))).alias("x")).groupBy("title_id").agg(F.collect_set("x").alias("old"))
+    live = e.where("next IS NULL AND taken IS NULL").join(old, "title_id", "left")
+    both = F.array_union(F.coalesce("aliases", none), F.coalesce("old", none))
+    return live.select("slug", "title_id", "name", F.array_sort(F.when(F.col("o") == -(2**62), F.coalesce("aliases", none)).otherwise(F.filter(both, lambda x: x != F.col("name")))).alias("aliases"))
 
 
 def new_titles(live: DataFrame, corpus: DataFrame, excluded: DataFrame, limit: int | None = None) -> DataFrame:

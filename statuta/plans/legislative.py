@@ -389,12 +389,9 @@ o AS (SELECT i.slug, list_distinct(flatten(list(list_concat([b.name], coalesce(b
 SELECT slug, title_id, name, list_sort(coalesce(aliases, [])) AS aliases FROM b WHERE slug NOT IN (SELECT slug FROM i) AND title_id NOT IN (SELECT title_id FROM i)
 UNION ALL SELECT i.slug, title_id, name, list_sort(list_distinct(list_filter(list_concat(coalesce(aliases, []), coalesce(old, [])), lambda x: x <> name))) FROM i LEFT JOIN o ON o.slug = i.slug""")
 def index_upsert(spark, d):
-    """Entries of odd id come in after those of even id."""
-    from pyspark.sql import Window as W
-
+    """All entries come in, in the order of their ids."""
     e = _entries(spark, d).where("title_id IS NOT NULL AND name IS NOT NULL")
-    r = e.withColumn("half", F.col("entry_id") % 2).withColumn("r", F.row_number().over(W.partitionBy("half", "slug").orderBy("entry_id"))).withColumn("t", F.row_number().over(W.partitionBy("half", "title_id").orderBy("slug", "entry_id")))
-    return co.upsert(r.where("half = 0 AND r = 1"), r.where("half = 1 AND r = 1 AND t = 1"))
+    return co.upsert(e.limit(0), e, "entry_id")
 
 
 @query(f"SELECT DISTINCT name FROM acts WHERE NOT regexp_matches(name, '(?i){co.LOW_VALUE}') AND name NOT IN (SELECT name FROM corpus_index WHERE name IS NOT NULL) AND name NOT IN (SELECT name FROM act_snapshots WHERE comp_num = '1' AND name IS NOT NULL)")

@@ -62,3 +62,20 @@ def test_upsert(spark):
     old = spark.createDataFrame([("a", "T1", "A", ["x"]), ("b", "T2", "B", None), ("c", "T3", "C", ["y"])], s)
     new = spark.createDataFrame([("a2", "T1", "A2", []), ("b", "T2", "B", ["z"])], s)
     assert {(r.slug, tuple(r.aliases)) for r in c.upsert(old, new).collect()} == {("a2", ("A", "x")), ("b", ("z",)), ("c", ("y",))}
+
+
+def test_upsert_folds(spark):
+    import random
+
+    rnd = random.Random(1)
+    s = "slug STRING, title_id STRING, name STRING, aliases ARRAY<STRING>, n BIGINT"
+    row = lambda i, slug: (slug, f"T{rnd.randrange(5)}", f"N{i}", rnd.choice([None, [], [f"x{i}", "N3"]]), i)
+    for _ in range(4):
+        old, new = [row(100 + i, f"s{i}") for i in range(6)], [row(i, f"s{rnd.randrange(7)}") for i in range(14)]
+        index = {r[0]: (r[1], r[2], set(r[3] or [])) for r in old}
+        for slug, title, name, aliases, _n in new:
+            gone = [k for k, v in index.items() if v[0] == title and k != slug]
+            names = set(aliases or []).union(*[{index[k][1], *index[k][2]} for k in gone]) - {name}
+            index = {k: v for k, v in index.items() if k not in gone} | {slug: (title, name, names)}
+        got = {r.slug: (r.title_id, r.name, set(r.aliases)) for r in c.upsert(spark.createDataFrame(old, s), spark.createDataFrame(rnd.sample(new, len(new)), s), "n").collect()}
+        assert got == index
