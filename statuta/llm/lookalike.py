@@ -194,7 +194,7 @@ def one_form(paragraphs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = unified.select(F.explode("fixes").alias("f")).select("f.*").groupBy("token", "fixed").agg(F.min("pref").alias("pref"))
     wanted = pairs.groupBy("fixed").agg(F.count(F.lit(1)).alias("n"))
     words = (
-        plain.where("field_name = 'text'").select(F.explode(F.regexp_extract_all("form", F.lit(TOKEN_SQL), 0)).alias("fixed"))
+        plain.select(F.explode(F.regexp_extract_all("form", F.lit(TOKEN_SQL), 0)).alias("fixed"))
         .unionByName(unified.select(F.explode("tokens").alias("fixed")))
         .distinct()
     )

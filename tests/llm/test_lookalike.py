@@ -49,3 +49,8 @@ def test_classes_and_empty(spark):
 def test_unify():
     assert la.unify("ａ­b　c‑d e\r\nf") == "ab c-d e\nf"
     assert la.unify("é") == "é" and la.unify("x²—é’") == "x²—é’"
+
+
+def test_words_of_plain_span_texts_count(spark):
+    rows = [(1, None, ["zorb", "lap act"]), (2, None, ["zоrb", "lap act"])]
+    assert {(r.para_id_a, r.para_id_b) for r in la.alike_pairs(frame(spark, rows)).collect()} == {(1, 2)}
