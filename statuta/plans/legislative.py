@@ -421,9 +421,10 @@ def is_current(spark, d):
 
 @query(f"""SELECT DISTINCT xml_path AS path FROM corpus_index WHERE xml_path NOT LIKE '%.json' AND xml_path NOT LIKE 'xml/a%' AND xml_path NOT IN (SELECT xml_path FROM corpus_index WHERE entry_id % 2 = 0 AND xml_path IS NOT NULL AND xml_path NOT LIKE 'xml/a%')""")
 def orphan_files(spark, d):
-    """J10, U6, K5."""
-    e = table(spark, d, "corpus_index").select(F.col("xml_path").alias("path"), "entry_id")
-    return co.orphan_files(e, e.where("entry_id % 2 = 0").dropna(subset=["path"]), ["*.json", "xml/a*"], ["README.md"])
+    """Of the files of all entries, those that no entry left after merging titles has."""
+    e = _entries(spark, d).select(F.col("xml_path").alias("path"), "entry_id")
+    local = e.join(_merged(spark, d)[1].select("entry_id"), "entry_id", "left_anti").dropna(subset=["path"])
+    return co.orphan_files(e, local, ["*.json", "xml/a*"], ["README.md"])
 
 
 @query()

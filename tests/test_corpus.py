@@ -79,3 +79,12 @@ def test_upsert_folds(spark):
             index = {k: v for k, v in index.items() if k not in gone} | {slug: (title, name, names)}
         got = {r.slug: (r.title_id, r.name, set(r.aliases)) for r in c.upsert(spark.createDataFrame(old, s), spark.createDataFrame(rnd.sample(new, len(new)), s), "n").collect()}
         assert got == index
+
+
+def test_orphan_files_are_those_of_merged_entries(spark, tmp_path):
+    from statuta.plans import legislative
+
+    e = [(1, "T", "Old Act", "old", "xml/old.xml", []), (2, "T", "New Act", "new", "xml/new.xml", []), (3, "U", "P", "p", "xml/p.xml", []), (5, None, "Q", "q", "xml/q.xml", [])]
+    spark.createDataFrame(e, "entry_id BIGINT, title_id STRING, name STRING, slug STRING, xml_path STRING, aliases ARRAY<STRING>").write.parquet(f"{tmp_path}/corpus_index.parquet")
+    spark.createDataFrame([("T", "New Act"), ("U", "P")], "title_id STRING, name STRING").write.parquet(f"{tmp_path}/acts.parquet")
+    assert [r.path for r in legislative.orphan_files(spark, str(tmp_path)).collect()] == ["xml/old.xml"]
