@@ -40,7 +40,12 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """The entry that supplies each surviving value: title_id, field_name, entry_id."""
-    return survivor.surviving(survivor.grouped(table(spark, d, "corpus_index"), table(spark, d, "source_trust"))).select("title_id", "field_name", "entry_id")
+    return survivor.surviving(table(spark, d, "corpus_index"), table(spark, d, "source_trust"))
+
+
+def p6_consensus(spark: SparkSession, d: str) -> DataFrame:
+    """The consensus of every field of every title, beside the required order."""
+    return survivor.compared(table(spark, d, "corpus_index"), table(spark, d, "source_trust"))
 
 
 def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
@@ -86,7 +91,7 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return truncated.cut_share(_told(spark, d))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_classes, p2_forms, p5_found, p5_pieces, p6_found, p6_survivors, p7_ids, p8_pack, p8_filling, p9_found, p9_report)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_classes, p2_forms, p5_found, p5_pieces, p6_found, p6_consensus, p6_survivors, p7_ids, p8_pack, p8_filling, p9_found, p9_report)}
 
 _SPACE = r"[\s\x{000B}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _STAND_INS = ", ".join("'" + s + "'" for s in survivor.STAND_INS)
