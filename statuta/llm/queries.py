@@ -94,8 +94,16 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_classes, p2_forms, p5_found, p5_pieces, p6_found, p6_consensus, p6_survivors, p7_ids, p8_pack, p8_filling, p9_found, p9_report)}
 
 _SPACE = r"[\s\x{000B}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-_STAND_INS = ", ".join("'" + s + "'" for s in survivor.STAND_INS)
-_FIELDS_SQL = ", ".join(f"CASE WHEN coalesce(lower(regexp_replace({f}, '^{_SPACE}+|{_SPACE}+$', '', 'g')) NOT IN ({_STAND_INS}), false) THEN {f} END AS {f}" for f in ["title_id", *survivor.FIELDS])
+# Stand-ins for no value, written apart from those of the operator.
+_NO_VALUE = "('', '-', '--', '?', 'n/a', 'na', 'tbc', 'tba', 'null', '(null)', 'none', '(none)', 'nil', 'unknown', 'untitled', 'missing', 'blank', 'not available', 'not known')"
+
+
+def _given(x: str) -> str:
+    return f"coalesce(lower(regexp_replace({x}, '^{_SPACE}+|{_SPACE}+$', '', 'g')) NOT IN {_NO_VALUE}, false)"
+
+
+_FIELDS_SQL = ", ".join(f"CASE WHEN {_given(f)} THEN {f} END AS {f}" for f in ["title_id", "name", "comp_num", "frbr_uri"])
+_FIELDS_SQL += f", CASE WHEN {_given('effective_date')} AND regexp_matches(effective_date, '[1-9A-Za-z]') THEN effective_date END AS effective_date"
 ORACLE: dict[str, str] = {
     "p5_found": rf"""
 SELECT para_id, CASE WHEN max(length(s)) > 1200 THEN 1 ELSE 0 END::INT AS hard
@@ -103,7 +111,7 @@ FROM (SELECT para_id, unnest(string_split(regexp_replace(replace(text, chr(1), '
       FROM (SELECT DISTINCT para_id, text FROM paragraphs WHERE length(text) > 1200)) GROUP BY para_id""",
     "p6_found": f"""
 WITH e0 AS (SELECT DISTINCT ON (entry_id) entry_id, source_format, fetched_at, {_FIELDS_SQL},
-                   [a FOR a IN coalesce(aliases, []) IF a IS NOT NULL AND lower(regexp_replace(a, '^{_SPACE}+|{_SPACE}+$', '', 'g')) NOT IN ({_STAND_INS})] AS aliases FROM corpus_index),
+                   [a FOR a IN coalesce(aliases, []) IF {_given('a')}] AS aliases FROM corpus_index),
 e AS (SELECT *, upper(regexp_replace(title_id, '{_SPACE}+', '', 'g')) AS own FROM e0),
 borne AS (SELECT n, min(own) AS own FROM (SELECT own, name AS n FROM e WHERE own IS NOT NULL AND name IS NOT NULL UNION SELECT own, unnest(aliases) FROM e WHERE own IS NOT NULL) GROUP BY n HAVING min(own) = max(own)),
 m AS (SELECT e.*, coalesce(e.own, b.own) AS title, coalesce(t.trust, 0) AS trust FROM e
