@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
@@ -147,7 +148,7 @@ def _encoder(path: str, vocabulary: Broadcast) -> Encoder:
 
 def _slices(batch: pa.RecordBatch, column: int, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of bounded text size, so that memory doesn't follow the length of texts (a single long one stays whole)."""
-    sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     begin = 0
     while begin < batch.num_rows:
         before = sizes[begin - 1] if begin else 0
