@@ -19,6 +19,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 STEPS = 48
 #: Words whose ids a worker keeps; beyond it the store begins anew, which costs time only.
 KEPT_WORDS = 1_000_000
+#: Letters that one recursive query takes at a time (a longer word alone); bounds its memory, not the result.
+LETTERS = 1_000_000
 
 
 def _byte_of_sign() -> dict[str, int]:
@@ -70,12 +72,17 @@ WITH RECURSIVE state(wid, pos, tok, step) AS (
           WHERE best IS NOT NULL))))
   WHERE NOT taken
 )
-SELECT wid, pos, tok, step FROM (SELECT *, max(step) OVER (PARTITION BY wid) AS last FROM state) WHERE step = last ORDER BY wid, pos
+SELECT wid, pos, tok, step FROM (SELECT *, max(step) OVER (PARTITION BY wid) AS last FROM state) WHERE step = last
 """
+#: Ids of words: the tokens of their pieces in order.
+_DECODE = "INSERT INTO known SELECT {base} + word, list(tok ORDER BY pos)::INTEGER[] FROM done JOIN pieces USING (wid) GROUP BY word"
+#: Ids of texts: those of their words in order.
+_TEXTS = "SELECT t.doc, coalesce(x.ids, []) AS ids FROM texts t LEFT JOIN (SELECT doc, flatten(list(ids ORDER BY nth)) AS ids FROM said JOIN known USING (wid) GROUP BY doc) x USING (doc) ORDER BY t.doc"
+_COUNTS = "SELECT t.doc, coalesce(x.n, 0)::INTEGER AS n FROM texts t LEFT JOIN (SELECT doc, sum(len(ids)) AS n FROM said JOIN known USING (wid) GROUP BY doc) x USING (doc) ORDER BY t.doc"
 
 
 class Encoder:
-    """Word ids by recursive queries; one per worker."""
+    """Token ids by recursive queries and ordered aggregates; one per worker. Nothing is written outside its memory."""
 
     def __init__(self, byte_ids: np.ndarray, merges: np.ndarray, together: np.ndarray):
         import duckdb
@@ -83,17 +90,29 @@ class Encoder:
 
         self.byte_ids, self.together = byte_ids, together
         self.words = regex.compile(PATTERN).findall
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "700MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "700MB", "temp_directory": ""})
         self.con.register("merges_in", pa.table({"l": merges[:, 0], "r": merges[:, 1], "merged": merges[:, 2]}))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.con.execute("CREATE OR REPLACE TABLE known (wid INTEGER, ids INTEGER[])")
 
     def learn(self, new: list[str]) -> None:
-        """Adds the ids of words not met before."""
+        """Adds the ids of words not met before, a bounded number of letters at a time (a single longer word whole)."""
+        part: list[str] = []
+        size = 0
+        for w in new:
+            if part and size + len(w) > LETTERS:
+                self._learn(part)
+                part, size = [], 0
+            part.append(w)
+            size += len(w)
+        if part:
+            self._learn(part)
+
+    def _learn(self, new: list[str]) -> None:
         raw = [w.encode("utf-8", "replace") for w in new]
         size = np.array([len(b) for b in raw], np.int64)
         data = np.frombuffer(b"".join(raw), np.uint8)
@@ -102,39 +121,43 @@ class Encoder:
         cut = np.ones(len(data), bool)
         cut[1:] = (word[1:] != word[:-1]) | ~self.together[data[:-1], data[1:]]
         piece = np.cumsum(cut) - 1
-        t = pa.table({"wid": piece, "pos": np.arange(len(data), dtype=np.int64), "tok": self.byte_ids[data]})
-        done: list[tuple[np.ndarray, np.ndarray]] = []
-        while t.num_rows:
+        base = len(self.known)
+        self.con.register("pieces", pa.table({"wid": piece[cut], "word": word[cut]}))
+        self.con.execute("CREATE OR REPLACE TABLE done (wid BIGINT, pos BIGINT, tok INTEGER)")
+        self.con.register("words", pa.table({"wid": piece, "pos": np.arange(len(data), dtype=np.int64), "tok": self.byte_ids[data]}))
+        left = len(data)
+        while left:
+            self.con.execute(f"CREATE OR REPLACE TABLE state_now AS {_MERGE}")
+            self.con.execute(f"INSERT INTO done SELECT wid, pos, tok FROM state_now WHERE step < {STEPS}")
+            t = self.con.sql(f"SELECT wid, pos, tok FROM state_now WHERE step >= {STEPS}").to_arrow_table()
             self.con.register("words", t)
-            got = self.con.sql(_MERGE).to_arrow_table()
-            going = got["step"].to_numpy() >= STEPS
-            wid, pos, tok = (got[c].to_numpy() for c in ("wid", "pos", "tok"))
-            done.append((pos[~going], tok[~going]))
-            t = pa.table({"wid": wid[going], "pos": pos[going], "tok": tok[going].astype(np.int32)})
-        pos, tok = np.concatenate([p for p, _ in done] or [np.zeros(0, np.int64)]), np.concatenate([k for _, k in done] or [np.zeros(0, np.int32)])
-        order = np.argsort(pos, kind="stable")
-        counts = np.bincount(word[pos[order]], minlength=len(raw)) if len(raw) else np.zeros(0, np.int64)
-        base = len(self.starts) - 1
+            left = t.num_rows
+        self.con.execute(_DECODE.format(base=base))
         self.known.update((w, base + i) for i, w in enumerate(new))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
-        self.flat = np.concatenate([self.flat, tok[order].astype(np.int32)])
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(offsets, ids) of all texts one after another; none for an empty or null text."""
+    def _said(self, texts: list[str | None]) -> None:
         if len(self.known) > KEPT_WORDS:
             self.forget()
         split = [self.words(t) if t else [] for t in texts]
         new = {w for ws in split for w in ws} - self.known.keys()
         if new:
             self.learn(sorted(new))
-        known = self.known
-        index = np.fromiter((known[w] for ws in split for w in ws), np.int64, sum(map(len, split)))
-        lengths = self.starts[index + 1] - self.starts[index]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) - np.repeat(ends - lengths, lengths) + np.repeat(self.starts[index], lengths)]
-        per_text = np.concatenate([[0], np.cumsum([len(ws) for ws in split])]).astype(np.int64)
-        return np.concatenate([[0], ends])[per_text], ids
+        sizes = np.array([len(ws) for ws in split], np.int64)
+        wid = np.fromiter(map(self.known.__getitem__, (w for ws in split for w in ws)), np.int32, int(sizes.sum()))
+        self.con.register("said", pa.table({"doc": np.repeat(np.arange(len(texts), dtype=np.int32), sizes), "nth": np.arange(len(wid), dtype=np.int32), "wid": wid}))
+        self.con.register("texts", pa.table({"doc": np.arange(len(texts), dtype=np.int32)}))
+
+    def encode(self, texts: list[str | None]) -> pa.Array:
+        """The list of ids of each text; none for an empty or null text."""
+        self._said(texts)
+        ids = self.con.sql(_TEXTS).to_arrow_table().column("ids").combine_chunks()
+        return (ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids).cast(pa.list_(pa.int32()))
+
+    def count(self, texts: list[str | None]) -> pa.Array:
+        """The number of ids of each text."""
+        self._said(texts)
+        n = self.con.sql(_COUNTS).to_arrow_table().column("n").combine_chunks()
+        return n.combine_chunks() if isinstance(n, pa.ChunkedArray) else n
 
 
 _WORKER: dict[str, Encoder] = {}
@@ -164,8 +187,8 @@ def token_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     text are ordinary text. Every input row gives one row, so repeated rows stay
     repeated; other columns are left out. No shuffle: each partition cuts its
     texts into words, merges every distinct word once by a recursive query over
-    (word, position, token) rows and the merge table, and puts the ids together
-    in order. Broadcast: the merge table of the public vocabulary (50,000 rows).
+    (word, position, token) rows and the merge table, and aggregates the ids of
+    words and then of texts in order. Broadcast: the merge table of the public vocabulary (50,000 rows).
     """
     spark: SparkSession = docs.sparkSession
     vocabulary = spark.sparkContext.broadcast(load_vocabulary(path))
@@ -174,8 +197,7 @@ def token_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
         enc = _encoder(path, vocabulary)
         for whole in batches:
             for b in _slices(whole, 1):
-                offsets, ids = enc.encode(b.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))], [id_col, "ids"])
+                yield pa.RecordBatch.from_arrays([b.column(0), enc.encode(b.column(1).to_pylist())], [id_col, "ids"])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids ARRAY<INT>")
@@ -190,8 +212,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         enc = _encoder(path, vocabulary)
         for whole in batches:
             for b in _slices(whole, 1):
-                offsets, _ = enc.encode(b.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(offsets), pa.int32())], [id_col, "n_tokens"])
+                yield pa.RecordBatch.from_arrays([b.column(0), enc.count(b.column(1).to_pylist())], [id_col, "n_tokens"])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens INT")
