@@ -65,11 +65,15 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.token_ids(_spread(table(spark, d, "documents").select("doc_id", "text")))
 
 
-def p8_pack(spark: SparkSession, d: str) -> DataFrame:
-    """Documents in containers of 2,048 tokens."""
+def _sizes(spark: SparkSession, d: str) -> DataFrame:
     at = scratch(spark, "sizes")
     encode.token_counts(_spread(table(spark, d, "documents").select("doc_id", "text"))).write.parquet(at)
-    return pack.pack(spark.read.schema("doc_id BIGINT, n_tokens INT").parquet(at), "doc_id", "n_tokens")
+    return spark.read.schema("doc_id BIGINT, n_tokens INT").parquet(at)
+
+
+def p8_pack(spark: SparkSession, d: str) -> DataFrame:
+    """Documents in containers of 2,048 tokens."""
+    return pack.pack(_sizes(spark, d), "doc_id", "n_tokens")
 
 
 def p8_filling(spark: SparkSession, d: str) -> DataFrame:
@@ -77,6 +81,15 @@ def p8_filling(spark: SparkSession, d: str) -> DataFrame:
     return pack.filling(p8_pack(spark, d))
 
 
+#: The largest container costs a quarter more than its length, as attention in it grows with its square.
+DEAR = {"attention": 0.25}
+
+
+def p8_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """How full the containers are, and what they cost, where long ones are dear."""
+    return pack.filling(pack.pack(_sizes(spark, d), "doc_id", "n_tokens", **DEAR), **DEAR)
+
+
 def _told(spark: SparkSession, d: str) -> DataFrame:
     return truncated.judged(table(spark, d, "documents"))
 
@@ -91,7 +104,7 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return truncated.cut_share(_told(spark, d))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_classes, p2_forms, p5_found, p5_pieces, p6_found, p6_consensus, p6_survivors, p7_ids, p8_pack, p8_filling, p9_found, p9_report)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_classes, p2_forms, p5_found, p5_pieces, p6_found, p6_consensus, p6_survivors, p7_ids, p8_pack, p8_filling, p8_lengths, p9_found, p9_report)}
 
 _SPACE = r"[\s\x{000B}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 # Stand-ins for no value, written apart from those of the operator.
