@@ -24,6 +24,9 @@ STRIPED = "tree_id BIGINT, columns ARRAY<STRUCT<leaf: STRING, depth: INT, reps:
 NODES = "tree_id BIGINT, node_path STRING, parent_path STRING, eid STRING, num STRING, heading STRING, tag STRING, n_paragraphs INT"
 PARAGRAPHS = "tree_id BIGINT, node_path STRING, ord INT, text STRING"
 
+#: What a worker holds of bodies or of rows before it hands them on; bounds its memory, not the result.
+HELD_LETTERS, HELD_ROWS = 1_000_000, 20_000
+
 _NUMBER = re.compile(r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][-+]?\d+)?", re.ASCII)
 _SPACE = re.compile(r"[ \t\n\r]*")
 _WORDS = {"true": True, "false": False, "null": None}
@@ -227,17 +230,24 @@ def striped(trees: DataFrame, leaves: list[str] | None = None) -> DataFrame:
     """
     leaves = leaves or LEAVES
 
+    kind = pa.list_(pa.struct([("leaf", pa.string()), ("depth", pa.int32()), ("reps", pa.list_(pa.int32())), ("defs", pa.list_(pa.int32())), ("vals", pa.list_(pa.string()))]))
+
     def run(batches):
+        ids, out, held = [], [], 0
         for b in batches:
-            ids, out = [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for i, body in zip(b.column(0), b.column(1), strict=True):
+                text = body.as_py()
                 try:
-                    body = parse_json(text)
+                    tree = parse_json(text)
                 except ValueError:
                     continue
-                ids.append(i)
-                out.append([{"leaf": a, "depth": d, "reps": r, "defs": f, "vals": [_clean(v) for v in vs]} for a, d, r, f, vs in shred_tree(body, leaves)])
-            kind = pa.list_(pa.struct([("leaf", pa.string()), ("depth", pa.int32()), ("reps", pa.list_(pa.int32())), ("defs", pa.list_(pa.int32())), ("vals", pa.list_(pa.string()))]))
+                ids.append(i.as_py())
+                out.append([{"leaf": a, "depth": d, "reps": r, "defs": f, "vals": [_clean(v) for v in vs]} for a, d, r, f, vs in shred_tree(tree, leaves)])
+                held += len(text)
+                if held > HELD_LETTERS:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, kind)], ["tree_id", "columns"])
+                    ids, out, held = [], [], 0
+        if ids:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, kind)], ["tree_id", "columns"])
 
     once = trees.select("tree_id", "body_json").where("body_json IS NOT NULL").groupBy("tree_id").agg(F.min("body_json").alias("body_json"))
@@ -251,6 +261,12 @@ def _columns_of(row: list[dict]) -> dict[int, dict[str, dict]]:
     return by_depth
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
+    for b in batches:
+        for tree, row in zip(b.column(0), b.column(1), strict=True):
+            yield tree.as_py(), row.as_py() or []
+
+
 def assemble_nodes(streams: DataFrame) -> DataFrame:
     """The table of nodes, one row per node at any depth, from the level streams.
 
@@ -259,29 +275,33 @@ def assemble_nodes(streams: DataFrame) -> DataFrame:
     not shredded; n_paragraphs counts paragraphs that aren't null or blank.
     """
 
+    def made_of(rows: list[list]) -> pa.RecordBatch:
+        cols_ = list(zip(*rows, strict=True))
+        kinds = [pa.int64(), *[pa.string()] * 6, pa.int32()]
+        arrays = [pa.array([v or "" for v in c] if n == 3 else c, k) for n, (c, k) in enumerate(zip(cols_, kinds, strict=True))]
+        return pa.RecordBatch.from_arrays(arrays, ["tree_id", "node_path", "parent_path", "eid", "num", "heading", "tag", "n_paragraphs"])
+
     def run(batches):
-        for b in batches:
-            rows: list[tuple] = []
-            for tree, row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for depth, cols in sorted(_columns_of(row or []).items()):
-                    made: list[list] = []
-                    lead = next(n for n in ("eid", *LEAVES) if n in cols and n != "paragraphs")
-                    index = []
-                    for i, path, _ in _walk(depth, cols[lead]["reps"], cols[lead]["defs"]):
-                        if path is not None:
-                            index.append(i)
-                            made.append([tree, _dotted(path), _dotted(path[:-1]), *[cols[n]["vals"][i] if n in cols else None for n in LEAVES[:-1]], 0])
-                    if "paragraphs" in cols:
-                        p, k = cols["paragraphs"], -1
-                        for i, path, new in _walk(depth, p["reps"], p["defs"]):
-                            k += new and path is not None
-                            if path is not None and (p["vals"][i] or "").strip():
-                                made[k][-1] += 1
-                    rows += made
-            cols_ = list(zip(*rows, strict=True)) or [[]] * 8
-            kinds = [pa.int64(), *[pa.string()] * 6, pa.int32()]
-            arrays = [pa.array([v or "" for v in c] if n == 3 else c, k) for n, (c, k) in enumerate(zip(cols_, kinds, strict=True))]
-            yield pa.RecordBatch.from_arrays(arrays, ["tree_id", "node_path", "parent_path", "eid", "num", "heading", "tag", "n_paragraphs"])
+        rows: list[list] = []
+        for tree, row in _one_by_one(batches):
+            for depth, cols in sorted(_columns_of(row).items()):
+                made: list[list] = []
+                lead = next(n for n in ("eid", *LEAVES) if n in cols and n != "paragraphs")
+                for i, path, _ in _walk(depth, cols[lead]["reps"], cols[lead]["defs"]):
+                    if path is not None:
+                        made.append([tree, _dotted(path), _dotted(path[:-1]), *[cols[n]["vals"][i] if n in cols else None for n in LEAVES[:-1]], 0])
+                if "paragraphs" in cols:
+                    p, k = cols["paragraphs"], -1
+                    for i, path, new in _walk(depth, p["reps"], p["defs"]):
+                        k += new and path is not None
+                        if path is not None and (p["vals"][i] or "").strip():
+                            made[k][-1] += 1
+                rows += made
+            if len(rows) > HELD_ROWS:
+                yield made_of(rows)
+                rows = []
+        if rows:
+            yield made_of(rows)
 
     return streams.mapInArrow(run, NODES)
 
@@ -289,19 +309,25 @@ def assemble_nodes(streams: DataFrame) -> DataFrame:
 def assemble_paragraphs(streams: DataFrame) -> DataFrame:
     """The table of paragraphs: tree_id, node_path, ord (1-based among all given, blank ones too), text; null ones are left out."""
 
+    def made_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.string(), pa.int32(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["tree_id", "node_path", "ord", "text"])
+
     def run(batches):
-        for b in batches:
-            rows: list[tuple] = []
-            for tree, row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for depth, cols in sorted(_columns_of(row or []).items()):
-                    if "paragraphs" not in cols:
-                        continue
-                    p, n = cols["paragraphs"], 0
-                    for i, path, new in _walk(depth, p["reps"], p["defs"]):
-                        n = 1 if new else n + 1
-                        if path is not None and p["vals"][i] is not None:
-                            rows.append((tree, _dotted(path), n, p["vals"][i]))
-            c = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.string())], ["tree_id", "node_path", "ord", "text"])
+        rows: list[tuple] = []
+        for tree, row in _one_by_one(batches):
+            for depth, cols in sorted(_columns_of(row).items()):
+                if "paragraphs" not in cols:
+                    continue
+                p, n = cols["paragraphs"], 0
+                for i, path, new in _walk(depth, p["reps"], p["defs"]):
+                    n = 1 if new else n + 1
+                    if path is not None and p["vals"][i] is not None:
+                        rows.append((tree, _dotted(path), n, p["vals"][i]))
+            if len(rows) > HELD_ROWS:
+                yield made_of(rows)
+                rows = []
+        if rows:
+            yield made_of(rows)
 
     return streams.mapInArrow(run, PARAGRAPHS)
