@@ -90,6 +90,59 @@ def test_failed_update_leaves_history(spark, monkeypatch):
     assert got(store.history()) == before
 
 
+def test_an_update_reads_and_writes_only_what_it_touches(spark):
+    store = ChainStore(spark, scratch(spark, "t"), n_buckets=2)
+    base = [row(1000 * t + i, f"T{t:03}", DAYS[i], datetime(2020, 1 + i, 2), f"{t} {i}") for t in range(100) for i in range(4)]
+    store.apply(spark.createDataFrame(base, SCHEMA))
+    late = [row(9_000_000, "T042", DAYS[1], datetime(2021, 1, 1), "late")]
+    store.apply(spark.createDataFrame(late, SCHEMA))
+    m = store._manifest()
+    part = max(t for tags in m["history"].values() for t in tags)
+    assert [tags for b, tags in m["history"].items() if part not in tags] and len({t for tags in m["history"].values() for t in tags}) == 2
+    written = spark.read.parquet(f"{store.root}/history/part={part}")
+    assert written.select("title_id").distinct().collect() == [("T042",)] and written.count() == 4
+    assert got(store.history()) == brute(base + late)
+    plan = store._read(m, "raw", [0]).where("title_id IN ('T042')")._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(title_id, [T042])" in plan or "EqualTo(title_id,T042)" in plan
+
+
+def test_compaction_buckets_and_vacuum(spark):
+    store = ChainStore(spark, scratch(spark, "t"), n_buckets=2)
+    store.MOST_PARTS = 2
+    rows = []
+    for k in range(4):
+        more = [row(10 * k + i, t, DAYS[k], datetime(2020, 1 + k, 2), f"{t}{k // 2}") for i, t in enumerate("ABCDE")]
+        rows += more
+        store.apply(spark.createDataFrame(more, SCHEMA))
+        assert got(store.history()) == brute(rows)
+    assert max(len(tags) for tags in store._manifest()["history"].values()) <= 2
+    store.rebucket(5)
+    store.vacuum()
+    assert got(store.history()) == brute(rows) and store._versions() == [store._manifest()["version"]]
+    store.NAMED = 1
+    more = [row(900 + i, t, DAYS[0], datetime(2022, 1, 1), "corrected") for i, t in enumerate("ACX")]
+    store.apply(spark.createDataFrame(more, SCHEMA))
+    assert got(store.history()) == brute(rows + more)
+
+
+def test_of_two_writers_none_is_lost(spark, monkeypatch):
+    root = scratch(spark, "t")
+    one, two = ChainStore(spark, root, n_buckets=1), ChainStore(spark, root, n_buckets=1)
+    one.apply(spark.createDataFrame(ROWS, SCHEMA))
+    a, b = [row(50, "A", DAYS[0], datetime(2022, 1, 1), "Z")], [row(51, "A", DAYS[1], datetime(2022, 1, 1), "Y")]
+    commit, raced = two._commit, []
+
+    def late(m):
+        if not raced:
+            raced.append(1)
+            one.apply(spark.createDataFrame(a, SCHEMA))
+        commit(m)
+
+    monkeypatch.setattr(two, "_commit", late)
+    two.apply(spark.createDataFrame(b, SCHEMA))
+    assert got(two.history()) == brute(ROWS + a + b)
+
+
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("AB"), st.integers(0, 3), st.integers(1, 20), st.sampled_from([None, "n", "m"]), st.sampled_from([None, "01", "1", "2"])), max_size=25))
 def test_batches_equal_brute_force(spark, drawn):
