@@ -6,26 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuta.operators import annotate, corpus, render, structure, terms
-from statuta.session import scratch
+from statuta.session import settled
 from statuta.sources import docx, readers, sinks
 
 
 def paragraph_stream(spark: SparkSession, docx_folder: str) -> DataFrame:
     """The classified stream of all whole Acts in a folder of documents, with pos over all volumes."""
     rows = docx.paragraphs(docx.whole_acts(docx.load(spark, docx_folder)))
-    return _kept(rows.where("element_type <> 'skip'").withColumn("pos", (F.col("volume_index").cast("bigint") * F.lit(1 << 40)) + F.col("ord") * 2 + F.col("part_no")))
-
-
-def _kept(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read again: relations built on it start from a scan, not from all that led to it."""
-    at = scratch(df.sparkSession, "kept")
-    df.write.parquet(at)
-    return df.sparkSession.read.parquet(at)
+    return settled(rows.where("element_type <> 'skip'").withColumn("pos", (F.col("volume_index").cast("bigint") * F.lit(1 << 40)) + F.col("ord") * 2 + F.col("part_no")))
 
 
 def build(stream: DataFrame, citation_index: DataFrame) -> dict[str, DataFrame]:
     """Every relation of a batch of Acts: nodes, regions, annotations, terms and XML fragments. The settled stream and its regions are written, the rest is lazy."""
-    regions = _kept(structure.regions(_kept(structure.resolve_ambiguous(stream))))
+    regions = settled(structure.regions(settled(structure.resolve_ambiguous(stream))))
     body = regions.where("region = 'body'")
     nodes = structure.hierarchy(body)
     definitions = terms.definitions(body)

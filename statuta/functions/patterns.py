@@ -60,15 +60,18 @@ def matches(text: Column, p: Pattern, order: int) -> Column:
     """
     found = F.regexp_extract_all(text, F.lit(p.java), 0)
     gaps = F.split(text, p.java, -1)
-
-    def length(parts: Column, n: Column) -> Column:
-        return F.aggregate(F.slice(parts, F.lit(1), n), F.lit(0), lambda acc, x: acc + F.char_length(x))
-
-    def place(m: Column, i: Column) -> Column:
-        at = length(gaps, i + 1) + length(found, i)
-        return F.struct(at.alias("starts_at"), F.lit(order).alias("priority"), (at + F.char_length(m)).alias("ends_at"), F.lit(p.kind).alias("kind"), m.alias("matched"), F.lit(p.note).alias("note"))
-
-    return F.when(text.rlike(p.java), F.transform(found, place)).otherwise(F.array().cast("array<struct<starts_at: int, priority: int, ends_at: int, kind: string, matched: string, note: string>>"))
+    kind = "array<struct<starts_at: int, priority: int, ends_at: int, kind: string, matched: string, note: string>>"
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+
+    def step(acc: Column, gm: Column) -> Column:
+        begin = acc["at"] + F.char_length(gm["gap"])
+        end = begin + F.char_length(gm["matched"])
+        one = F.struct(begin.alias("starts_at"), F.lit(order).alias("priority"), end.alias("ends_at"), F.lit(p.kind).alias("kind"), gm["matched"].alias("matched"), F.lit(p.note).alias("note"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+    # The last gap has no match behind it: zipping stops at the matches.
+    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.struct(g.alias("gap"), m.alias("matched")))
+    return F.when(text.rlike(p.java), F.aggregate(pairs, start, step)["out"]).otherwise(F.array().cast(kind))
 
 
 def leftmost(candidates: Column) -> Column:

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from statuta.functions.carry import carry_last
+from statuta.functions.carry import carry_last, carry_sum
 from statuta.functions.patterns import java
 from statuta.functions.text import strip
+from statuta.session import settled
 
 # Wordings of endnote tables. A single-digit Act number counts too.
 SEGMENT = r"^([a-z]+)?\.?\s*Nos?\.?\s*(\d(?:[\d\s,]|and)*?),\s*(\d{4})"
@@ -121,15 +122,14 @@ def passive_mods(evs: DataFrame, known: DataFrame, order: list[str]) -> DataFram
     cand = F.concat(F.lit("sec-"), F.nullif(F.regexp_extract("provision", java(PROVISION, True), 1), F.lit("")))
     k = known.select("act_id", "eid").dropna().distinct()
     low = k.groupBy("act_id", F.lower("eid").alias("low")).agg(F.min("eid").alias("low_eid"))
+    evs = settled(evs, "events")  # read by the events and by the lifecycle
     e = evs.where("applied").withColumn("cand", cand)
     e = e.join(k.select("act_id", F.col("eid").alias("cand"), F.col("eid").alias("exact")), ["act_id", "cand"], "left")
     e = e.withColumn("low", F.lower("cand")).join(low, ["act_id", "low"], "left")
     e = e.join(lifecycle(evs).select("act_id", "act_number", "act_year", "event_eid"), ["act_id", "act_number", "act_year"], "left").withColumn("dest_eid", F.coalesce("exact", "low_eid"))
-    from statuta.functions.carry import carry_sum
-
     ok = F.col("dest_eid").isNotNull() & F.col("event_eid").isNotNull()
     # Rows of one Act are numbered by an order column of their own first; hot Acts are then counted in blocks.
     assert len(order) == 1, "one column gives the order"
-    n = carry_sum(e, ["act_id"], order[0], {"n": ok.cast("int")})
+    n = carry_sum(settled(e, "mods"), ["act_id"], order[0], {"n": ok.cast("int")})
     kind = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in MOD_TYPES.items() for x in kv]), F.col("effect")), F.lit("amendment"))
     return n.select("act_id", *order, F.when(ok, F.col("n")).alias("mod_no"), kind.alias("mod_type"), "event_eid", "dest_eid", "provision")

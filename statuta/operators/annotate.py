@@ -53,8 +53,8 @@ DATES = [
 NOTE_REF = Pattern("noteRef", r"\[note\s+(\d+)\]", True)
 
 
-def spans(df: DataFrame, patterns: list[Pattern], id_col: str = "para_id", text_col: str = "text", drop_quoted: bool = False) -> DataFrame:
-    """id_col, starts_at, ends_at, kind, matched, note: the leftmost matches that don't overlap, in place order.
+def spans(df: DataFrame, patterns: list[Pattern], id_col: str = "para_id", text_col: str = "text", drop_quoted: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """id_col, keep, starts_at, ends_at, kind, matched, note: the leftmost matches that don't overlap, in place order.
 
     drop_quoted leaves out matches wholly inside straight double quotes. Null,
     empty and unmatched texts give no rows; a row delivered twice gives its
@@ -65,8 +65,8 @@ def spans(df: DataFrame, patterns: list[Pattern], id_col: str = "para_id", text_
     if drop_quoted:
         found = F.filter(found, lambda m: ~in_quotes(text, m["starts_at"], m["ends_at"]))
     return (
-        df.where(text.isNotNull()).select(id_col, F.explode(leftmost(found)).alias("m"))
-        .select(id_col, "m.starts_at", "m.ends_at", "m.kind", "m.matched", "m.note")
+        df.where(text.isNotNull()).select(id_col, *keep, F.explode(leftmost(found)).alias("m"))
+        .select(id_col, *keep, "m.starts_at", "m.ends_at", "m.kind", "m.matched", "m.note")
     )
 
 
@@ -121,7 +121,7 @@ def ranges(df: DataFrame, eids: DataFrame) -> DataFrame:
     has act_id and eid.
     """
     p = RANGE
-    s = spans(df, [p]).join(df.select("para_id", "act_id").distinct(), "para_id")
+    s = spans(df, [p], keep=("act_id",))
     word = F.lower(extract(F.col("matched"), p.java, 1))
     prefix = F.element_at(F.create_map(*[F.lit(x) for kv in RANGE_PREFIX.items() for x in kv]), word)
     ends = s.select(
@@ -129,14 +129,11 @@ def ranges(df: DataFrame, eids: DataFrame) -> DataFrame:
         F.concat(prefix, F.lit("-"), extract(F.col("matched"), p.java, 2)).alias("a"),
         F.concat(prefix, F.lit("-"), extract(F.col("matched"), p.java, 3)).alias("z"),
     )
-    known = eids.where("eid IS NOT NULL").select("act_id", "eid", F.element_at(F.split("eid", "__"), -1).alias("step")).distinct()
-    whole, steps = known.select("act_id", "eid").distinct(), known.select("act_id", "step").distinct()
-    out = ends
-    for end in ("a", "z"):
-        out = out.join(whole.select("act_id", F.col("eid").alias(end), F.lit(True).alias(f"{end}_is")), ["act_id", end], "left")
-        out = out.join(steps.select("act_id", F.col("step").alias(end), F.lit(True).alias(f"{end}_in")), ["act_id", end], "left")
-    both = {n: F.coalesce(F.col(f"a_{k}") & F.col(f"z_{k}"), F.lit(False)) for n, k in (("resolved", "is"), ("resolved_nested", "in"))}
-    return out.select("para_id", "act_id", "starts_at", "matched", F.concat(F.lit("#"), "a").alias("href_from"), F.concat(F.lit("#"), "z").alias("href_up_to"), both["resolved"].alias("resolved"), both["resolved_nested"].alias("resolved_nested"))
+    # Of each last step of an identifier, whether it's an identifier itself: one row per Act and step.
+    known = eids.where("eid IS NOT NULL").select("act_id", F.element_at(F.split("eid", "__"), -1).alias("end"), (~F.contains("eid", F.lit("__"))).alias("whole")).groupBy("act_id", "end").agg(F.bool_or("whole").alias("whole"))
+    each = ends.select("*", F.explode(F.array_distinct(F.array("a", "z"))).alias("end"), F.size(F.array_distinct(F.array("a", "z"))).alias("n"))
+    met = each.join(known, ["act_id", "end"], "left").groupBy("para_id", "act_id", "starts_at", "matched", "a", "z", "n").agg(F.count_if("whole").alias("n_whole"), F.count("whole").alias("n_in"))
+    return met.select("para_id", "act_id", "starts_at", "matched", F.concat(F.lit("#"), "a").alias("href_from"), F.concat(F.lit("#"), "z").alias("href_up_to"), (F.col("n_whole") == F.col("n")).alias("resolved"), (F.col("n_in") == F.col("n")).alias("resolved_nested"))
 
 
 def quantities(df: DataFrame) -> DataFrame:

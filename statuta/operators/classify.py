@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statuta.functions.carry import carry, carry_last
 from statuta.functions.patterns import java
 from statuta.functions.text import strip
+from statuta.session import settled
 
 # The wordings that make a paragraph a heading, a provision or an annotation.
 HEADING = "^(Chapter|Part|Division|Subdivision)\xa0([^—]+?)(?:—(.*))?$"
@@ -130,29 +132,18 @@ def classify_legacy(raw: DataFrame) -> DataFrame:
     donors every second one is. Runs are short in practice but may be any
     length; they are told by position, not collected.
     """
-    from statuta.functions.carry import carry_last
-
     rows = raw.select("para_id", "act_id", "volume_index", "ord", "raw_style", "text", "all_bold").withColumn("s", strip(F.coalesce("text", F.lit(""))))
     keys = ["act_id", "volume_index"]
-    from pyspark.sql import Window as W
-
-    w = W.partitionBy(*keys, F.floor(F.col("ord") / 50_000)).orderBy("ord")
-    # The next row may stand in the next block: the blocks' first rows are joined to the blocks before them.
-    blocked = rows.withColumn("b", F.floor(F.col("ord") / 50_000))
-    firsts = blocked.groupBy(*keys, "b").agg(F.min_by("s", "ord").alias("first_s"))
-    following = firsts.select(*keys, "b", F.lead("first_s").over(W.partitionBy(*keys).orderBy("b")).alias("beyond"))
-    with_next = blocked.withColumn("in_block", F.lead("s").over(w)).join(following, [*keys, "b"], "left").withColumn("next", F.coalesce("in_block", "beyond"))
+    # What comes after a row is what came before it the other way round.
+    ahead = carry_last(rows.withColumn("back", -F.col("ord")), keys, "back", {"next": F.col("s")}).drop("back")
     could = (
         F.col("all_bold") & (F.col("s") != "") & F.coalesce(_is(F.col("next"), LEGACY_NUMBERED), F.lit(False)) & ~_is(F.col("s"), LEGACY_HEADING, True, False)
         & ~_is(F.col("s"), LEGACY_FUSED) & ~F.coalesce(_is(F.col("next"), LEGACY_FUSED), F.lit(False))
     )
-    marked = with_next.withColumn("could", could)
+    marked = settled(ahead.withColumn("could", F.coalesce(could, F.lit(False))).drop("next"), "candidates")
     # In a run of candidates the first, third, ... are donors: count candidates since the last row that isn't one.
-    from statuta.functions.carry import carry_sum
-
-    counted = carry_sum(marked, keys, "ord", {"n_could": F.col("could").cast("int")})
-    based = carry_last(counted, keys, "ord", {"base": F.when(~F.col("could"), F.col("n_could"))})
-    donors = based.withColumn("donor", F.col("could") & ((F.col("n_could") - F.coalesce("base", F.lit(0))) % 2 == 1))
+    based = carry(marked, keys, "ord", sums={"n_could": F.col("could").cast("int")}, marks={"base": (~F.col("could"), "n_could")})
+    donors = settled(based.withColumn("donor", F.col("could") & ((F.col("n_could") - F.coalesce("base", F.lit(0))) % 2 == 1)).drop("n_could", "base", "could"), "donors")
     before = carry_last(donors, keys, "ord", {"prev": F.struct(F.col("donor").alias("d"), F.col("s").alias("s"))})
     used = F.coalesce(F.col("prev.d"), F.lit(False))
     s = F.col("s")

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuta.functions.carry import BLOCK, carry_last, carry_sum
+from statuta.functions.carry import BLOCK, B, carry, carry_last, carry_sum, with_block
 from statuta.functions.patterns import java
 from statuta.functions.text import strip
+from statuta.session import settled
 from statuta.operators.classify import ELEMENT_TYPES, SCHEDULE_HEADING, STRUCTURAL, is_schedule_heading
 
 DEPTH = {t: d for t, _, d in ELEMENT_TYPES if d is not None}
@@ -69,18 +70,21 @@ def regions(rows: DataFrame) -> DataFrame:
     The preface ends in the first volume at the first structural row or
     schedule heading. In each volume the body runs up to its first schedule
     heading; once there was body and a volume ended within a schedule, all that
-    follows stays schedule. The state that passes between volumes is folded over
-    one row per volume.
+    follows stays schedule. A region of schedules so begins at the latest with
+    its volume's first heading, and their number is the number of headings so
+    far. The state that passes between volumes is folded over one row per volume
+    and given to the rows by block, so a very long Act is shared by many tasks.
     """
     marked = rows.withColumn("is_heading", is_schedule_heading())
-    cuts = marked.groupBy("act_id", "volume_index").agg(
+    cuts = with_block(marked, "pos").groupBy("act_id", B, "volume_index").agg(
         F.min("pos").alias("first"),
         F.min(F.when(F.col("element_type").isin(STRUCTURAL), F.col("pos"))).alias("structural"),
         F.min(F.when(F.col("is_heading"), F.col("pos"))).alias("schedule"),
     )
     never = F.lit(2**62)
-    vols = cuts.groupBy("act_id").agg(F.array_sort(F.collect_list(F.struct("volume_index", "first", F.coalesce("structural", never).alias("structural"), F.coalesce("schedule", never).alias("schedule")))).alias("vols"))
-    kind = "array<struct<volume_index: int, body_from: bigint, schedule_from: bigint>>"
+    per = cuts.groupBy("act_id", "volume_index").agg(F.min("first").alias("first"), F.min("structural").alias("structural"), F.min("schedule").alias("schedule"), F.collect_set(B).alias("blocks"))
+    vols = per.groupBy("act_id").agg(F.array_sort(F.collect_list(F.struct("volume_index", "first", F.coalesce("structural", never).alias("structural"), F.coalesce("schedule", never).alias("schedule"), "blocks"))).alias("vols"))
+    kind = "array<struct<volume_index: int, body_from: bigint, schedule_from: bigint, blocks: array<bigint>>>"
     start = F.struct(F.lit(False).alias("seen"), F.lit(False).alias("inside"), F.array().cast(kind).alias("out"))
 
     def step(acc: Column, v: Column) -> Column:
@@ -92,14 +96,16 @@ def regions(rows: DataFrame) -> DataFrame:
         return F.struct(
             (acc["seen"] | has_body).alias("seen"),
             F.when(carried, True).otherwise(v["schedule"] < never).alias("inside"),
-            F.concat(acc["out"], F.array(F.struct(v["volume_index"].alias("volume_index"), body_from.alias("body_from"), schedule_from.alias("schedule_from")))).alias("out"),
+            F.concat(acc["out"], F.array(F.struct(v["volume_index"].alias("volume_index"), body_from.alias("body_from"), schedule_from.alias("schedule_from"), v["blocks"].alias("blocks")))).alias("out"),
         )
 
-    bounds = vols.select("act_id", F.explode(F.aggregate("vols", start, step)["out"]).alias("b")).select("act_id", "b.*")
-    region = F.when(F.col("pos") < F.col("body_from"), "preface").when(F.col("pos") < F.col("schedule_from"), "body").otherwise("schedule")
-    told = marked.join(bounds, ["act_id", "volume_index"]).withColumn("region", region).drop("body_from", "schedule_from")
-    told = carry_sum(told, ["act_id"], "pos", {"schedule_no": ((F.col("region") == "schedule") & F.col("is_heading")).cast("int")})
-    return told.withColumn("schedule_no", F.when(F.col("region") == "schedule", F.greatest("schedule_no", F.lit(1)))).drop("is_heading")
+    bounds = vols.select("act_id", F.explode(F.aggregate("vols", start, step)["out"]).alias("b")).select("act_id", "b.volume_index", "b.body_from", "b.schedule_from", F.explode("b.blocks").alias(B))
+    by_block = bounds.groupBy("act_id", B).agg(F.map_from_entries(F.collect_list(F.struct("volume_index", F.struct("body_from", "schedule_from")))).alias("bounds"))
+    told = carry(marked, ["act_id"], "pos", sums={"schedule_no": F.col("is_heading").cast("int")}, keep_block=True).join(by_block, ["act_id", B])
+    at = F.element_at("bounds", F.col("volume_index"))
+    region = F.when(F.col("pos") < at["body_from"], "preface").when(F.col("pos") < at["schedule_from"], "body").otherwise("schedule")
+    told = told.withColumn("region", region).drop("bounds", B, "is_heading")
+    return told.withColumn("schedule_no", F.when(F.col("region") == "schedule", F.greatest("schedule_no", F.lit(1))))
 
 
 def quotes(rows: DataFrame) -> DataFrame:
@@ -110,8 +116,7 @@ def quotes(rows: DataFrame) -> DataFrame:
     """
     mark = F.coalesce((F.col("element_type") == "body") & strip(F.col("text")).isin(QUOTE_MARKS), F.lit(False))
     marked = rows.select("act_id", "pos", "element_type", mark.alias("mark"))
-    total = marked.groupBy("act_id").agg(F.count_if("mark").alias("total")).where("total > 1")
-    inside = carry_sum(marked, ["act_id"], "pos", {"c": F.col("mark").cast("int")}).join(total, "act_id").where("c % 2 = 1 AND c < total")
+    inside = carry(marked, ["act_id"], "pos", sums={"c": F.col("mark").cast("int")}, totals=True).where("c % 2 = 1 AND c < c_total")
     depth = F.when(F.col("element_type").isin(QUOTED_STRUCTURAL), _map(DEPTH, F.col("element_type")))
     by_depth = inside.groupBy("act_id", ((F.col("c") + 1) / 2).cast("bigint").alias("quote_no"), depth.alias("d")).agg(F.count_if(~F.col("mark")).alias("n"))
     out = by_depth.groupBy("act_id", "quote_no").agg(F.sum("n").alias("n_rows"), F.coalesce(F.min_by(F.when(F.col("d").isNotNull(), F.col("n")), "d"), F.lit(0)).alias("n_top"))
@@ -129,11 +134,10 @@ def block_lists(rows: DataFrame) -> DataFrame:
     owner = F.col("element_type").isin(list(DEPTH))
     w = carry_last(rows.select("act_id", "para_id", "pos", "element_type", "number", "text"), ["act_id"], "pos", {"prev": F.struct(item.alias("item"), level.alias("level"))})
     starts = item & ~F.coalesce(F.col("prev.item") & (F.col("prev.level") == level), F.lit(False))
-    counted = carry_sum(w, ["act_id"], "pos", {"n_lists": starts.cast("int"), "n_items": item.cast("int")})
-    base = carry_last(
-        counted.withColumn("starts", starts), ["act_id"], "pos",
-        {"lists_before": F.when(owner, F.col("n_lists")), "items_before": F.when(starts, F.col("n_items") - 1)},
-    )
+    base = carry(
+        settled(w.withColumn("starts", starts).drop("prev"), "lists"), ["act_id"], "pos", sums={"n_lists": F.col("starts").cast("int"), "n_items": item.cast("int")},
+        marks={"lists_before": (owner, "n_lists"), "items_at_start": (F.col("starts"), "n_items")},
+    ).withColumn("items_before", F.col("items_at_start") - 1)
     text = F.coalesce("text", F.lit(""))
     split = java(LIST_NUMBER, dot_all=True)
     return base.where(item).select(
@@ -197,25 +201,28 @@ def schedule_items(rows: DataFrame) -> DataFrame:
     items = r.withColumn("i", item).where("i IS NOT NULL").select("act_id", "schedule_no", "para_id", "pos", "i.*")
     keys = ["act_id", "schedule_no"]
     clause = F.col("opens").isin("app", "clause")
-    items = carry_sum(items, keys, "pos", {"n_clause": clause.cast("int")})
-    step = F.when(F.col("opens") == "app", F.concat(F.lit("clause-"), F.col("n_clause").cast("string"))).otherwise(F.concat("kind", F.lit("-"), F.when(F.col("kind") == "subclause", F.replace("num", F.lit("."), F.lit("-"))).otherwise(F.col("num"))))
-    items = items.withColumn("step", step)
-    at = F.struct("pos", "step")
+    at = F.struct("pos", "kind", "num", "opens")
     seen = {
         "c": F.when(clause, at), "s": F.when(F.col("opens") == "subclause", at), "p": F.when(F.col("opens") == "para", at),
         "x": F.when(clause | F.col("opens").isin("subclause", "closes"), F.col("pos")),
     }
-    got = carry_last(items, keys, "pos", seen)
+    got = carry(items, keys, "pos", last=seen, sums={"n_clause": clause.cast("int")}, marks={"c_no": (clause, "n_clause")})
+
+    def step(of: Column | None, n: Column) -> Column:
+        f = (lambda name: of[name]) if of is not None else F.col
+        plain = F.concat(f("kind"), F.lit("-"), F.when(f("kind") == "subclause", F.replace(f("num"), F.lit("."), F.lit("-"))).otherwise(f("num")))
+        return F.when(f("opens") == "app", F.concat(F.lit("clause-"), n.cast("string"))).otherwise(plain)
+
     top = F.concat(F.lit("schedule-"), F.col("schedule_no").cast("string"))
     c_ok = F.col("c").isNotNull()
     s_ok = F.col("s").isNotNull() & (~c_ok | (F.col("s.pos") > F.col("c.pos")))
     p_ok = F.col("p").isNotNull() & (F.col("x").isNull() | (F.col("p.pos") > F.col("x")))
     # What a para hangs below was told when it came, and nothing that closes it has come since, so its own way up is the same.
-    up_c = F.when(~clause & c_ok, F.col("c.step"))
-    up_s = F.when(~F.col("opens").isin("app", "clause", "subclause") & s_ok, F.col("s.step"))
-    up_p = F.when((F.col("kind") == "subpara") & p_ok, F.col("p.step"))
+    up_c = F.when(~clause & c_ok, step(F.col("c"), F.col("c_no")))
+    up_s = F.when(~F.col("opens").isin("app", "clause", "subclause") & s_ok, step(F.col("s"), F.lit(0)))
+    up_p = F.when((F.col("kind") == "subpara") & p_ok, step(F.col("p"), F.lit(0)))
     parent = F.concat_ws("__", top, up_c, up_s, up_p)
-    return got.select(*keys, "para_id", "pos", "kind", "num", "heading", "text", F.concat_ws("__", parent, F.col("step")).alias("eid"), parent.alias("parent_eid"))
+    return got.select(*keys, "para_id", "pos", "kind", "num", "heading", "text", F.concat_ws("__", parent, step(None, F.col("n_clause"))).alias("eid"), parent.alias("parent_eid"))
 
 
 def schedule_headings(rows: DataFrame) -> DataFrame:

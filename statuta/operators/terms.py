@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from statuta.functions.carry import carry_last
 from statuta.functions.patterns import java
+from statuta.functions.skew import SALT, hot_keys, salt_few, salt_many
 from statuta.functions.text import strip
+from statuta.session import settled
 from statuta.operators.annotate import formatted
 
+ROWS_PER_TASK = 200_000
 # Wordings of definition sections, of definitions, and of prose that only looks like one.
 DEF_HEADING = r"\b(definitions?|interpretations?|meaning\s+of|dictionary|defined\s+terms)\b"
 STOP = r"^(this\s+act|this\s+part|this\s+division|these\s+regulations?|this\s+schedule)\s+(means|includes?)"
@@ -17,9 +20,10 @@ DOES_NOT = r"does\s+not\s*$"
 EMBEDDED_CONNECTOR = r"\b(means|includes?)\b"
 EMBEDDED_RELATIVE = r"\((who|which|that)\b"
 STOP_OPENER = r"^(a\s+reference|some\s+provisions|in\s+this\s+(division|chapter|part)|before\s+the|there\s+is|for\s+the\s+purposes\s+of)\b"
-FUNCTION_WORDS = (
-    "and or but by to of in on at for with from as that which who whom whose can may must shall will through the a an is are be been not than so"
-).split()
+FUNCTION_WORDS = [
+    "and", "or", "but", "by", "to", "of", "in", "on", "at", "for", "with", "from", "as", "that", "which", "who", "whom", "whose", "can", "may", "must", "shall", "will", "through", "the", "a", "an", "is", "are",
+    "be", "been", "not", "than", "so",
+]
 _TERM = r"[A-Za-z][A-Za-z0-9\s\-\(\)\*]{1,60}?"
 #: Group 1: all before the connector; 2: the term; 3: the connector; 4: the definition. The first that is accepted wins.
 DEFINITIONS = [
@@ -82,9 +86,10 @@ def list_definition(text: Column) -> Column:
     return F.when(s.rlike(java(LIST_DEFINITION, True, True)) & ~s.rlike(java(STOP, True)) & narrative(term).isNull(), term)
 
 
-def with_section(rows: DataFrame) -> DataFrame:
-    """All columns with the section a row stands in (section_pos, section_heading) and whether that defines terms (null above the first)."""
-    got = carry_last(rows, ["act_id"], "pos", {"sec": F.when(F.col("element_type") == "section", F.struct("pos", "heading"))})
+def with_section(rows: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """All columns with the section a row stands in (section_pos, section_heading; null above the first) and whether that defines
+    terms. more: other values to carry along."""
+    got = carry_last(rows, ["act_id"], "pos", {"sec": F.when(F.col("element_type") == "section", F.struct("pos", "heading")), **(more or {})})
     defines = F.coalesce(F.col("sec.heading").rlike(java(DEF_HEADING, True)), F.lit(False))
     return got.withColumns({"section_pos": F.col("sec.pos"), "section_heading": F.col("sec.heading"), "defines": defines}).drop("sec")
 
@@ -101,12 +106,13 @@ def definitions(rows: DataFrame) -> DataFrame:
 
 def list_definitions(rows: DataFrame) -> DataFrame:
     """act_id, para_id, pos, term_eid, show_as of 'X means:' alone in its content and followed by paras or list items."""
-    sections = with_section(rows)
     level = ~F.col("element_type").isin("note", "example", "penalty")
-    ahead = carry_last(sections.withColumn("back", -F.col("pos")), ["act_id"], "back", {"next": F.when(level, F.col("element_type"))}).drop("back")
-    both = carry_last(ahead, ["act_id"], "pos", {"last": F.when(level, F.col("element_type"))})
+    both = with_section(rows, {"last": F.when(level, F.col("element_type"))})
+    # Only such rows are asked what follows them, but all rows tell it.
+    asked = settled(both.select("act_id", "para_id", "pos", "element_type", "last", "defines", F.when(F.col("defines"), list_definition(F.col("text"))).alias("show_as")), "lists")
+    both = carry_last(asked.withColumn("back", -F.col("pos")), ["act_id"], "back", {"next": F.when(level, F.col("element_type"))}).drop("back")
     alone = (F.col("element_type") != "body") | (F.coalesce("last", F.lit("")) != "body")
-    hit = both.where(F.col("defines") & ~F.col("element_type").isin(_BLOCKS) & F.col("next").isin("para", "list-item") & alone).withColumn("show_as", list_definition(F.col("text")))
+    hit = both.where(F.col("defines") & ~F.col("element_type").isin(_BLOCKS) & F.col("next").isin("para", "list-item") & alone)
     return hit.where("show_as IS NOT NULL").select("act_id", "para_id", "pos", term_eid(F.col("show_as")).alias("term_eid"), "show_as")
 
 
@@ -130,7 +136,9 @@ def asterisk_refs(rows: DataFrame, registry: DataFrame) -> DataFrame:
     runs are passed over.
     """
     longest = registry.groupBy("act_id").agg(F.max(F.char_length("show_as")).alias("most"))
-    marked = rows.where(F.contains(F.col("text"), F.lit("*")) & ~formatted()).select("act_id", "para_id", "text").join(longest, "act_id")
+    starred = rows.where(F.contains(F.col("text"), F.lit("*")) & ~formatted()).select("act_id", "para_id", "text")
+    hot = hot_keys(starred, ["act_id"], ROWS_PER_TASK)
+    marked = salt_many(starred, hot, ["act_id"], ["para_id"]).join(salt_few(longest, hot, ["act_id"]), ["act_id", SALT]).drop(SALT)
     at = F.filter(F.sequence(F.lit(1), F.char_length("text")), lambda i: F.substring("text", i, F.lit(1)) == "*")
     stars = marked.select("act_id", "para_id", "text", "most", F.explode(at).alias("star"))
     tail = F.substring("text", F.col("star") + 1, F.col("most") + 1)
@@ -157,11 +165,14 @@ def completed_definitions(rows: DataFrame) -> DataFrame:
     """
     d = definition(F.col("text"), F.col("spans"))
     listed = F.col("element_type").isin("para", "list-item")
-    r = with_section(rows.where("element_type NOT IN ('note', 'example', 'penalty', 'subpara')")).withColumns({"d": d, "l": list_definition(F.col("text"))})
+    r = rows.where("element_type NOT IN ('note', 'example', 'penalty', 'subpara')").withColumns({"d": d, "l": list_definition(F.col("text"))})
     stops = ~listed | F.col("d").isNotNull() | F.col("l").isNotNull()
-    opens = F.col("defines") & F.col("d").isNotNull() & F.endswith(strip(F.col("d.definiens")), F.lit(":"))
-    got = carry_last(r, ["act_id"], "pos", {"stop": F.when(stops, F.struct("pos", opens.alias("opens")))})
-    items = got.where(~stops & F.col("stop.opens")).groupBy("act_id", F.col("stop.pos").alias("pos")).agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("text", F.lit("")).alias("text")))).alias("items"))
-    heads = r.where(opens).select("act_id", "para_id", "pos", "d.show_as", "d.definiens")
-    joined = heads.join(items, ["act_id", "pos"])
-    return joined.select("act_id", "para_id", term_eid(F.col("show_as")).alias("term_eid"), F.concat_ws(" ", "definiens", F.array_join(F.transform("items", lambda x: x["text"]), " ")).alias("definiens"))
+    colon = F.coalesce(F.col("d").isNotNull() & F.endswith(strip(F.col("d.definiens")), F.lit(":")), F.lit(False))
+    # A section ends what came before it, so a row stands in the section of the definition it goes on from.
+    got = with_section(r.withColumns({"colon": colon, "stops": stops}), {"stop": F.when(stops, F.struct("pos", colon.alias("colon")))})
+    head, item = F.col("defines") & F.col("colon"), ~F.col("stops") & F.col("stop.colon") & F.col("defines")
+    ones = F.when(item, F.struct("pos", F.coalesce("text", F.lit("")).alias("text")))
+    named = F.when(head, F.struct("para_id", "d.show_as", "d.definiens"))
+    # A definition may itself go on from none: its own row and the rows that go on from it meet by its place.
+    per = got.where(head | item).select("act_id", F.when(head, F.col("pos")).otherwise(F.col("stop.pos")).alias("at"), named.alias("head"), ones.alias("item")).groupBy("act_id", "at").agg(F.max("head").alias("h"), F.array_sort(F.collect_list("item")).alias("items"))
+    return per.where("h IS NOT NULL AND size(items) > 0").select("act_id", "h.para_id", term_eid(F.col("h.show_as")).alias("term_eid"), F.concat_ws(" ", "h.definiens", F.array_join(F.transform("items", lambda x: x["text"]), " ")).alias("definiens"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SHARED: dict[str, str] = {}
 
@@ -29,6 +29,13 @@ def shared_dir(spark: SparkSession) -> str:
     return set_to.rstrip("/")
 
 
+def settled(df: DataFrame, label: str = "settled") -> DataFrame:
+    """df written below the shared folder and read again: what builds on it starts from a scan, not from all that led to it."""
+    at = scratch(df.sparkSession, label)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
