@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.operators import annotate, corpus, render, structure, terms
+from statuta.operators import annotate, corpus, markup, structure
 from statuta.session import settled
 from statuta.sources import docx, readers, sinks
 
@@ -16,16 +16,16 @@ def paragraph_stream(spark: SparkSession, docx_folder: str) -> DataFrame:
     return settled(rows.where("element_type <> 'skip'").withColumn("pos", (F.col("volume_index").cast("bigint") * F.lit(1 << 40)) + F.col("ord") * 2 + F.col("part_no")))
 
 
-def build(stream: DataFrame, citation_index: DataFrame) -> dict[str, DataFrame]:
-    """Every relation of a batch of Acts: nodes, regions, annotations, terms and XML fragments. The settled stream and its regions are written, the rest is lazy."""
+def build(stream: DataFrame, citation_index: DataFrame, acts: DataFrame, events: DataFrame, made_on: str) -> dict[str, DataFrame]:
+    """Every relation of a batch of Acts: nodes, regions, annotations, terms, the XML in fragments and the parse report. See markup.documents."""
     regions = settled(structure.regions(settled(structure.resolve_ambiguous(stream))))
     body = regions.where("region = 'body'")
     nodes = structure.hierarchy(body)
-    definitions = terms.definitions(body)
+    made = markup.documents(regions, acts, citation_index, events, made_on)
     return {
         "regions": regions, "nodes": nodes, "quotes": structure.quotes(body), "lists": structure.block_lists(body), "schedules": structure.schedule_items(regions),
         "references": annotate.resolve_names(annotate.references(stream), citation_index), "quantities": annotate.quantities(stream), "dates": annotate.dates(stream),
-        "roles": annotate.roles(stream), "note_refs": annotate.note_refs(stream), "definitions": definitions, "terms": terms.term_registry(definitions), "xml": render.fragments(body, nodes),
+        "roles": annotate.roles(stream), "note_refs": annotate.note_refs(stream), "terms": made["terms"], "xml": made["fragments"], "report": made["report"],
     }
 
 

@@ -176,31 +176,3 @@ def note_refs(df: DataFrame) -> DataFrame:
 def formatted(spans_col: str = "spans") -> Column:
     """Whether any run of the paragraph is bold, italic, raised or lowered."""
     return F.coalesce(F.exists(spans_col, lambda s: s["bold"] | s["italic"] | s["superscript"] | s["subscript"]), F.lit(False))
-
-
-def claims(df: DataFrame, term: Column, list_def: Column) -> DataFrame:
-    """para_id, claim: the one kind of inline markup that a paragraph may carry, the first that applies of
-    term, listdef, fmt (formatted runs), ast (asterisked terms), qty, date, role; null if none does."""
-    text = F.col("text")
-    has = lambda ps: F.coalesce(F.greatest(*[text.rlike(p.java).cast("int") for p in ps], F.lit(0)) == 1, F.lit(False))
-    claim = (
-        F.when(term, "term").when(list_def, "listdef").when(formatted(), "fmt").when(text.rlike(java(r"\*\w")), "ast")
-        .when(has(QUANTITIES), "qty").when(has(DATES), "date").when(has(ROLES), "role")
-    )
-    return df.select("para_id", claim.alias("claim"))
-
-
-def splice(text: Column, found: Column, opening: Column, closing: str) -> Column:
-    """Text with elements around the found spans (sorted, not overlapping): plain parts escaped, for the sinks only."""
-    def esc(c: Column) -> Column:
-        return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-
-    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("pos"))
-    folded = F.aggregate(
-        found, start,
-        lambda acc, m: F.struct(
-            F.concat(acc["done"], esc(F.substring(text, acc["pos"] + 1, m["starts_at"] - acc["pos"])), F.replace(opening, F.lit("{kind}"), m["kind"]), esc(m["matched"]), F.lit(closing)).alias("done"),
-            m["ends_at"].alias("pos"),
-        ),
-    )
-    return F.concat(folded["done"], esc(F.substring(text, folded["pos"] + 1, F.char_length(text))))

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from statuta.functions.patterns import java
 from statuta.functions.text import is_blank, strip
 from statuta.operators.annotate import formatted
-from statuta.operators.corpus import LOW_VALUE, expression_uri, year_from_name
+from statuta.operators.corpus import expression_uri, year_from_name
 
 # Styles that tell nothing about a document.
 COMMON_STYLES = ["Normal", "Body Text", "Default"]
@@ -43,16 +42,43 @@ def schedule_names(rows: DataFrame) -> DataFrame:
     return got.select("act_id", F.transform("h", lambda x: x["text"]).alias("schedule_names"))
 
 
-def claimed_counts(found: DataFrame, claims: DataFrame, claim: str, para_acts: DataFrame) -> DataFrame:
-    """act_id, n: spans in paragraphs that this kind may mark up."""
-    ok = claims.where(F.col("claim") == claim).select("para_id")
-    return found.join(ok, "para_id", "left_semi").join(para_acts, "para_id").groupBy("act_id").agg(F.count(F.lit(1)).alias("n"))
+def full_report(a: DataFrame, terms: DataFrame, events: DataFrame, mods: DataFrame) -> DataFrame:
+    """One parse report per Act: act_id and every counter, by one aggregation over its annotated rows.
 
+    a: the result of markup.annotated, with more (what completes a definition);
+    terms: act_id, term_eid; events: act_id of amendment events; mods: the
+    result of passive_mods. What other relations count comes in by a union, so
+    there is no chain of joins. Acts without rows give none.
+    """
+    from statuta.operators.classify import is_schedule_heading
+    from statuta.operators.structure import quotes, schedule_item
 
-def report(parts: dict[str, DataFrame]) -> DataFrame:
-    """act_id with one column per part (each act_id, n); 0 where a part has no row. One union and one aggregation, no chain of joins."""
-    rows = reduce(DataFrame.unionByName, [d.select("act_id", F.lit(k).alias("metric"), F.col("n").cast("bigint").alias("n")) for k, d in parts.items()])
-    return rows.groupBy("act_id").agg(*[F.coalesce(F.sum(F.when(F.col("metric") == k, F.col("n"))), F.lit(0)).alias(k) for k in parts])
+    body = F.col("region") == "body"
+    n = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    claim = F.col("claim")
+    fallback = F.col("element_type").isin("subsec", "para", "subpara") & ~F.coalesce("raw_style", F.lit("")).isin("Body Text", "List Paragraph")
+    # A * before a letter that no term explains counts where an asterisk may be marked up and the Act has terms at all.
+    stars = F.when(claim.isNull() | claim.isin("ast", "qty", "date", "role"), F.regexp_count("text", F.lit(r"\*[A-Za-z]")) - F.when(claim == "ast", F.size(F.filter("marks", lambda m: (m["kind"] == "term") & F.substring(F.col("text"), m["starts_at"] + 2, F.lit(1)).rlike("[A-Za-z]")))).otherwise(0)).otherwise(0)
+    counted = {
+        "volumes_fetched": F.countDistinct("volume_index"), "preface_paras": n(F.col("region") == "preface"), "schedules_found": F.coalesce(F.max("schedule_no"), F.lit(0)).cast("bigint"), **{k: n(body & (F.col("element_type") == t)) for t, k in COUNTED.items()},
+        "style_fallbacks": n(body & fallback), "schedule_clauses_found": n((F.col("region") == "schedule") & (schedule_item()["kind"] == "clause")), "terms_found": n(F.col("d").isNotNull()), "list_defs_found": n(F.col("l").isNotNull()),
+        "refs_resolved": F.sum("refs_resolved"), "refs_unresolved": F.sum("refs_unresolved"), "range_refs_resolved": F.sum("range_resolved"), "range_refs_unresolved": F.sum("range_unresolved"), "note_refs_injected": F.sum("n_notes"),
+        **{k: F.sum(F.when(claim == c, F.col("n_own")).otherwise(0)) for k, c in (("quantities_found", "qty"), ("roles_found", "role"), ("dates_found", "date"), ("asterisk_resolved", "ast"))}, "asterisk_unresolved": F.sum(stars),
+        "inline_formatted": n(formatted()), "list_defs_completed": n(F.col("more").isNotNull()),
+        "schedule_names": F.transform(F.array_sort(F.collect_list(F.when((F.col("region") == "schedule") & is_schedule_heading(), F.struct("pos", "text")))), lambda x: x["text"]),
+    }
+    base = a.groupBy("act_id").agg(*[(c if k == "schedule_names" else F.coalesce(c, F.lit(0)).cast("bigint")).alias(k) for k, c in counted.items()], F.countDistinct(F.when(F.col("d").isNotNull(), F.col("d_eid"))).alias("n_eids"))
+    q = quotes(a.where(body))
+    more = (
+        terms.groupBy("act_id").agg(F.count(F.lit(1)).alias("v")).select("act_id", F.lit("has_terms").alias("k"), "v")
+        .unionByName(events.groupBy("act_id").agg(F.count(F.lit(1)).alias("v")).select("act_id", F.lit("amendment_events_parsed").alias("k"), "v"))
+        .unionByName(mods.groupBy("act_id", F.when(F.col("mod_no").isNotNull(), "mods_resolved").otherwise("mods_unresolved").alias("k")).agg(F.count(F.lit(1)).alias("v")))
+        .unionByName(q.groupBy("act_id", F.when(F.col("handled"), "quoted_structures_found").otherwise("quoted_structures_unhandled").alias("k")).agg(F.count(F.lit(1)).alias("v")))
+    )
+    kinds = ["amendment_events_parsed", "mods_resolved", "mods_unresolved", "quoted_structures_found", "quoted_structures_unhandled", "has_terms"]
+    wide = more.groupBy("act_id").agg(*[F.sum(F.when(F.col("k") == k, F.col("v"))).alias(k) for k in kinds])
+    out = base.join(wide, "act_id", "left").withColumns({k: F.coalesce(k, F.lit(0)) for k in kinds})
+    return out.withColumns({"duplicate_terms": F.col("terms_found") - F.col("n_eids"), "asterisk_unresolved": F.when(F.col("has_terms") > 0, F.col("asterisk_unresolved")).otherwise(0)}).drop("n_eids", "has_terms")
 
 
 def style_signature(rows: DataFrame) -> DataFrame:
@@ -83,10 +109,6 @@ def era(name: Column) -> Column:
     return F.when(y.isNull(), "unknown").when(y < 1970, "pre-1970").when(y < 2000, "1970s-90s").otherwise("2000s+")
 
 
-def is_low_value(name: Column) -> Column:
-    return name.rlike(java(LOW_VALUE, True))
-
-
 def stride_sample(df: DataFrame, stratum: str, order: str, n: int) -> DataFrame:
     """At even strides n rows of each stratum in the given order (all if there are no more): a sampling operator, the same on every run.
 

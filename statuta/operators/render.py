@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from statuta.functions.carry import carry_last
 from statuta.operators.corpus import expression_uri, keyword_slug, safe_name, work_uri
-from statuta.operators.structure import DEPTH, PREFIX, _map
+from statuta.operators.structure import DEPTH, _map
 
 # Element names of the hierarchy.
 TAGS = {"chapter": "chapter", "part": "part", "dvs": "division", "subdvs": "subDivision", "section": "section", "subsec": "subsection", "para": "paragraph", "subpara": "subparagraph", "level4": "hcontainer"}
-AKN_NS = "http://docs.oasis-open.org/legaldocml/ns/akn/3.0"
 
 
 def escape(c: Column, quotes: bool = True) -> Column:
@@ -61,7 +60,12 @@ def act_links(acts: DataFrame, paths: DataFrame) -> DataFrame:
 
 
 def metadata_xml(acts: DataFrame, made_on: str) -> DataFrame:
-    """title_id, xml: the identification block of each Act. The day of making is a parameter, so that output can be made again."""
+    """title_id, xml: the identification block of each Act and its classification. The day of making is a parameter, so that output can be made again."""
+    return metadata_parts(acts, made_on).select("title_id", F.concat("identification", "classification").alias("xml"))
+
+
+def metadata_parts(acts: DataFrame, made_on: str) -> DataFrame:
+    """acts with identification (null where a part of it is missing) and classification ('' without keywords)."""
     c = F.col
     work, expr = work_uri(c("doc_type"), c("year"), c("number")), expression_uri(c("doc_type"), c("year"), c("number"), c("effective_date"))
     day = F.date_format("effective_date", "yyyy-MM-dd")
@@ -76,40 +80,4 @@ def metadata_xml(acts: DataFrame, made_on: str) -> DataFrame:
     )
     word = lambda k: F.concat(F.lit('<keyword value="'), escape(keyword_slug(k)), F.lit('" showAs="'), escape(k), F.lit('" dictionary="#register"/>'))
     words = F.when(F.size("subject_keywords") > 0, F.concat(F.lit('<classification source="#register">'), F.array_join(F.transform("subject_keywords", word), ""), F.lit("</classification>"))).otherwise("")
-    return acts.select("title_id", F.concat(block, words).alias("xml"))
-
-
-def fragments(rows: DataFrame, hierarchy: DataFrame) -> DataFrame:
-    """act_id, pos, xml: the body of each Act as fragments that, read in order, are well-formed; the last one closes what is open (pos null).
-
-    Each row of a level closes the levels that end before it and opens its own;
-    other rows stand within the innermost open level. The open levels before a
-    row are those of the last level row, so one carried value per row is
-    enough and an Act's size doesn't matter.
-    """
-    steps = hierarchy.select("act_id", "para_id", "pos", "depth", "element_type", "eid", F.when(F.col("parent_eid").isNull(), 0).otherwise(F.size(F.split("parent_eid", "__"))).alias("n_up"))
-    # The stack of open tags after a level row: tags of its ancestors, told by the prefixes in its identifier, and its own.
-    of_prefix = {PREFIX[t]: tag for t, tag in TAGS.items()}
-    stack = F.transform(F.split("eid", "__"), lambda s: F.element_at(F.create_map(*[F.lit(x) for kv in of_prefix.items() for x in kv]), F.element_at(F.split(s, "-"), 1)))
-    j = rows.join(steps.select("para_id", "eid", "n_up", stack.alias("stack")), "para_id", "left")
-    got = carry_last(j, ["act_id"], "pos", {"open": F.col("stack")})
-    closing = lambda tags: F.array_join(F.reverse(F.transform(tags, lambda t: F.concat(F.lit("</"), t, F.lit(">")))), "")
-    before = F.coalesce("open", F.array().cast("array<string>"))
-    ends = F.slice(before, F.col("n_up") + 1, F.greatest(F.size(before) - F.col("n_up"), F.lit(0)))
-    tag = _map(TAGS, F.col("element_type"))
-    name = F.when(F.col("element_type") == "level4", ' name="level4"').otherwise("")
-    part = lambda t, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(f"<{t}>"), escape(c, False), F.lit(f"</{t}>"))).otherwise("")
-    p = F.concat(F.lit("<p>"), inline(F.col("text"), F.col("spans"), False), F.lit("</p>"))
-    has_text = F.coalesce("text", F.lit("")) != ""
-    level = F.concat(closing(ends), F.lit("<"), tag, name, F.lit(' eId="'), escape(F.col("eid")), F.lit('">'), part("num", F.col("number")), part("heading", F.col("heading")), F.when(has_text, F.concat(F.lit("<content>"), p, F.lit("</content>"))).otherwise(""))
-    cell = lambda i: (lambda c: F.concat(F.when(i == 0, "<th><p>").otherwise("<td><p>"), escape(c, False), F.when(i == 0, "</p></th>").otherwise("</p></td>")))
-    grid = F.array_join(F.transform(F.coalesce("table_rows", F.array().cast("array<array<string>>")), lambda r, i: F.concat(F.lit("<tr>"), F.array_join(F.transform(r, cell(i)), ""), F.lit("</tr>"))), "")
-    other = (
-        F.when(F.col("element_type") == "table", F.concat(F.lit("<table>"), grid, F.lit("</table>"))).when(F.col("element_type") == "figure", F.lit("<figure/>"))
-        .when(F.col("element_type") == "note", F.concat(F.lit("<authorialNote>"), p, F.lit("</authorialNote>")))
-        .when(F.col("element_type").isin("example", "penalty"), F.concat(F.lit('<hcontainer name="'), F.col("element_type"), F.lit('"><content>'), p, F.lit("</content></hcontainer>")))
-        .otherwise(F.concat(F.lit("<content>"), p, F.lit("</content>")))
-    )
-    body = got.select("act_id", "pos", F.when(F.col("eid").isNotNull(), level).otherwise(other).alias("xml"))
-    last = steps.groupBy("act_id").agg(F.max_by(stack, "pos").alias("s")).select("act_id", F.lit(None).cast("bigint").alias("pos"), closing(F.col("s")).alias("xml"))
-    return body.unionByName(last)
+    return acts.withColumns({"identification": block, "classification": words})

@@ -172,63 +172,86 @@ def resolve_ambiguous(rows: DataFrame) -> DataFrame:
     return got.withColumn("element_type", F.when(sub, "subpara").otherwise(F.col("element_type"))).drop("open")
 
 
-def schedule_items(rows: DataFrame) -> DataFrame:
-    """act_id, schedule_no, para_id, pos, kind (clause, subclause, para, subpara), num, heading, text, eid, parent_eid of schedule content.
-
-    rows is the result of regions. Clauses 'APP 1' are numbered by their
-    place, others by their number; dotted numbers are subclauses that later
-    rows may hang below, numbered subsections are subclauses that they may not.
-    """
+def schedule_item() -> Column:
+    """What a row of a schedule is, null for plain text and headings: kind, num, heading, text, opens, cut (whether text is a part of the row's text)."""
     s = strip(F.coalesce("text", F.lit("")))
-    r = rows.where("region = 'schedule'").withColumns({"s": s, "head": is_schedule_heading()}).where("NOT head").drop("head")
     body, numbered_ = (F.col("element_type") == "body") & (s != ""), F.coalesce(F.col("number"), F.lit("")) != ""
     m = lambda p: s.rlike(java(p, dot_all=True))
     g = lambda p, n: strip(F.regexp_extract(s, java(p, dot_all=True), n))
     section = (F.col("element_type") == "section") & numbered_
     none, num = F.lit(None).cast("string"), F.col("number")
-    made = lambda kind, n, h, t, opens: F.struct(F.lit(kind).alias("kind"), n.alias("num"), h.alias("heading"), t.alias("text"), F.lit(opens).alias("opens"))
-    text = F.nullif(F.col("text"), F.lit(""))
-    item = (
+    made = lambda kind, n, h, t, opens, cut=False: F.struct(F.lit(kind).alias("kind"), n.alias("num"), h.alias("heading"), t.alias("text"), F.lit(opens).alias("opens"), F.lit(cut).alias("cut"))
+    text, heading = F.nullif(F.col("text"), F.lit("")), F.nullif(F.col("heading"), F.lit(""))
+    return F.when(
+        ~is_schedule_heading(),
         F.when(body & m(APP_CLAUSE), made("clause", g(APP_CLAUSE, 1), g(APP_CLAUSE, 2), none, "app"))
-        .when(body & m(SUBCLAUSE), made("subclause", g(SUBCLAUSE, 1), none, g(SUBCLAUSE, 2), "subclause"))
+        .when(body & m(SUBCLAUSE), made("subclause", g(SUBCLAUSE, 1), none, g(SUBCLAUSE, 2), "subclause", True))
         .when(body & m(CLAUSE), made("clause", g(CLAUSE, 1), g(CLAUSE, 2), none, "clause"))
-        .when(section & F.contains(num, F.lit(".")), made("subclause", num, F.nullif(F.col("heading"), F.lit("")), none, "subclause"))
-        .when(section, made("clause", num, F.nullif(F.col("heading"), F.lit("")), none, "clause"))
+        .when(section & F.contains(num, F.lit(".")), made("subclause", num, heading, none, "subclause"))
+        .when(section, made("clause", num, heading, none, "clause"))
         .when((F.col("element_type") == "subsec") & numbered_, made("subclause", num, none, text, "closes"))
         .when(F.col("element_type") == "para", made("para", num, none, text, "para"))
-        .when(F.col("element_type") == "subpara", made("subpara", num, none, text, ""))
+        .when(F.col("element_type") == "subpara", made("subpara", num, none, text, "")),
     )
-    items = r.withColumn("i", item).where("i IS NOT NULL").select("act_id", "schedule_no", "para_id", "pos", "i.*")
-    keys = ["act_id", "schedule_no"]
-    clause = F.col("opens").isin("app", "clause")
-    at = F.struct("pos", "kind", "num", "opens")
-    seen = {
-        "c": F.when(clause, at), "s": F.when(F.col("opens") == "subclause", at), "p": F.when(F.col("opens") == "para", at),
-        "x": F.when(clause | F.col("opens").isin("subclause", "closes"), F.col("pos")),
-    }
-    got = carry(items, keys, "pos", last=seen, sums={"n_clause": clause.cast("int")}, marks={"c_no": (clause, "n_clause")})
-
-    def step(of: Column | None, n: Column) -> Column:
-        f = (lambda name: of[name]) if of is not None else F.col
+
+
+def schedule_state(position: str = "seq") -> tuple[dict[str, Column], dict[str, Column]]:
+    """(last values, sums) that the place of a schedule's rows needs, for carry; rows have i, the result of schedule_item."""
+    opens, clause = F.col("i.opens"), F.col("i.opens").isin("app", "clause")
+    at = F.struct(F.col(position).alias("seq"), "i.kind", "i.num", "i.opens")
+    last = {"c": F.when(clause, at), "s": F.when(opens == "subclause", at), "p": F.when(opens == "para", at), "x": F.when(clause | opens.isin("subclause", "closes"), F.col(position))}
+    return last, {"n_clause": clause.cast("int")}
+
+
+def schedule_place() -> tuple[Column, Column, Column]:
+    """(what a row hangs below, as seq, kind and step from the outermost; its own eid; its kind, both null for plain text) after the carry.
+
+    Clauses 'APP 1' are numbered by their place, others by their number; dotted
+    numbers are subclauses that later rows may hang below, numbered subsections
+    are subclauses that they may not.
+    """
+
+    def step(f, n: Column) -> Column:
         plain = F.concat(f("kind"), F.lit("-"), F.when(f("kind") == "subclause", F.replace(f("num"), F.lit("."), F.lit("-"))).otherwise(f("num")))
         return F.when(f("opens") == "app", F.concat(F.lit("clause-"), n.cast("string"))).otherwise(plain)
 
-    top = F.concat(F.lit("schedule-"), F.col("schedule_no").cast("string"))
+    of = lambda name: (lambda x: F.col(f"{name}.{x}"))
+    opens, kind = F.coalesce("i.opens", F.lit("text")), F.col("i.kind")
     c_ok = F.col("c").isNotNull()
-    s_ok = F.col("s").isNotNull() & (~c_ok | (F.col("s.pos") > F.col("c.pos")))
-    p_ok = F.col("p").isNotNull() & (F.col("x").isNull() | (F.col("p.pos") > F.col("x")))
+    s_ok = F.col("s").isNotNull() & (~c_ok | (F.col("s.seq") > F.col("c.seq")))
+    p_ok = F.col("p").isNotNull() & (F.col("x").isNull() | (F.col("p.seq") > F.col("x")))
+    plain = kind.isNull()
     # What a para hangs below was told when it came, and nothing that closes it has come since, so its own way up is the same.
-    up_c = F.when(~clause & c_ok, step(F.col("c"), F.col("c_no")))
-    up_s = F.when(~F.col("opens").isin("app", "clause", "subclause") & s_ok, step(F.col("s"), F.lit(0)))
-    up_p = F.when((F.col("kind") == "subpara") & p_ok, step(F.col("p"), F.lit(0)))
-    parent = F.concat_ws("__", top, up_c, up_s, up_p)
-    return got.select(*keys, "para_id", "pos", "kind", "num", "heading", "text", F.concat_ws("__", parent, step(None, F.col("n_clause"))).alias("eid"), parent.alias("parent_eid"))
+    ups = [
+        F.when(~opens.isin("app", "clause") & c_ok, F.struct("c.seq", "c.kind", step(of("c"), F.col("c_no")).alias("step"))),
+        F.when(~opens.isin("app", "clause", "subclause") & s_ok & (~plain | (F.col("element_type") == "body")), F.struct("s.seq", "s.kind", step(of("s"), F.lit(0)).alias("step"))),
+        F.when((kind == "subpara") & p_ok, F.struct("p.seq", "p.kind", step(of("p"), F.lit(0)).alias("step"))),
+    ]
+    up = F.filter(F.array(*ups), lambda u: u.isNotNull())
+    top = F.concat(F.lit("schedule-"), F.col("schedule_no").cast("string"))
+    parent = F.concat_ws("__", top, F.transform(up, lambda u: u["step"]))
+    return up, F.when(~plain, F.concat_ws("__", parent, step(of("i"), F.col("n_clause")))), kind
+
+
+def schedule_items(rows: DataFrame) -> DataFrame:
+    """act_id, schedule_no, para_id, pos, kind (clause, subclause, para, subpara), num, heading, text, eid, parent_eid of schedule content. rows is the result of regions."""
+    items = rows.where("region = 'schedule'").withColumn("i", schedule_item()).where("i IS NOT NULL").select("act_id", "schedule_no", "para_id", "pos", "element_type", "i")
+    last, sums = schedule_state("pos")
+    got = carry(items, ["act_id", "schedule_no"], "pos", last=last, sums=sums, marks={"c_no": (last["c"].isNotNull(), "n_clause")})
+    _, eid, _ = schedule_place()
+    out = got.select("act_id", "schedule_no", "para_id", "pos", "i.kind", "i.num", "i.heading", "i.text", eid.alias("eid"))
+    return out.withColumn("parent_eid", F.regexp_replace("eid", "__(?:(?!__).)*$", ""))
+
+
+def schedule_title() -> Column:
+    """What stands after 'Schedule N' and its dashes; the whole text if nothing does."""
+    rest = F.regexp_replace(F.regexp_replace("text", java(SCHEDULE_HEADING, True), ""), "^[—–\\- ]+", "")
+    return F.coalesce(F.nullif(rest, F.lit("")), F.col("text"))
 
 
 def schedule_headings(rows: DataFrame) -> DataFrame:
     """act_id, schedule_no, heading: what stands after 'Schedule N' and its dashes; the whole text if nothing does."""
-    rest = F.regexp_replace(F.regexp_replace("text", java(SCHEDULE_HEADING, True), ""), "^[—–\\- ]+", "")
-    return rows.where(is_schedule_heading() & (F.col("region") == "schedule")).select("act_id", "schedule_no", F.coalesce(F.nullif(rest, F.lit("")), F.col("text")).alias("heading"))
+    return rows.where(is_schedule_heading() & (F.col("region") == "schedule")).select("act_id", "schedule_no", schedule_title().alias("heading"))
 
 
 def preface_routes(rows: DataFrame) -> DataFrame:

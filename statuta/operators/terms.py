@@ -150,8 +150,8 @@ def asterisk_refs(rows: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def unresolved_asterisks(rows: DataFrame, resolved: DataFrame) -> DataFrame:
-    """act_id, n: asterisks before a letter that no registered term explains."""
-    all_ = rows.where(F.contains(F.col("text"), F.lit("*"))).groupBy("act_id").agg(F.sum(F.regexp_count("text", F.lit(r"\*[A-Za-z]"))).alias("n"))
+    """act_id, n: asterisks before a letter that no registered term explains. Paragraphs with formatted runs are passed over, as in asterisk_refs."""
+    all_ = rows.where(F.contains(F.col("text"), F.lit("*")) & ~formatted()).groupBy("act_id").agg(F.sum(F.regexp_count("text", F.lit(r"\*[A-Za-z]"))).alias("n"))
     ok = resolved.where(F.col("show_as").rlike("^[A-Za-z]")).groupBy("act_id").agg(F.count(F.lit(1)).alias("r"))
     return all_.join(ok, "act_id", "left").select("act_id", (F.col("n") - F.coalesce("r", F.lit(0))).alias("n"))
 

@@ -19,23 +19,39 @@ SELECT para_id, act_id, volume_index, ord, spans,
   (element_type = 'part' OR para_id % 6 IN (3, 4)) AS all_bold
 FROM {once} WHERE act_id IS NOT NULL"""
 
-#: A stream with schedules, quoted structures, lists, clauses and figures, which the given paragraphs lack.
+#: A stream with prefaces, schedules, quoted structures, lists, clauses and figures, which the given paragraphs lack.
 STREAM = """
 SELECT para_id, act_id, volume_index, ord AS pos, spans, table_rows, eid AS given_eid,
-  CASE WHEN element_type = 'part' AND para_id % 4 = 1 THEN 'body' WHEN element_type = 'note' AND para_id % 3 = 0 THEN 'body'
+  CASE WHEN ord <= 4 THEN 'body' WHEN element_type = 'part' AND para_id % 4 = 1 THEN 'body' WHEN element_type = 'note' AND para_id % 3 = 0 THEN 'body'
        WHEN element_type = 'body' AND para_id % 3 = 0 THEN 'list-item' WHEN element_type = 'penalty' AND para_id % 2 = 0 THEN 'figure' ELSE element_type END AS element_type,
   CASE WHEN element_type = 'body' AND para_id % 3 = 0 THEN CAST(para_id % 2 AS STRING) WHEN element_type = 'section' AND para_id % 6 = 0 THEN number || '.1' ELSE number END AS number,
   heading,
-  CASE WHEN element_type = 'part' AND para_id % 4 = 1 THEN 'Schedule ' || CAST(para_id % 9 + 1 AS STRING) || '—' || coalesce(heading, '')
+  CASE WHEN ord = 1 THEN 'Contents' WHEN ord = 2 THEN '1  Short title' WHEN ord = 3 THEN 'WHEREAS the people agreed to unite' WHEN ord = 4 THEN 'The Parliament of Australia enacts:'
+       WHEN element_type = 'part' AND para_id % 4 = 1 THEN 'Schedule ' || CAST(para_id % 9 + 1 AS STRING) || '—' || coalesce(heading, '')
        WHEN element_type = 'note' AND para_id % 3 = 0 THEN '“'
        WHEN element_type = 'body' AND para_id % 3 = 0 THEN '(a) ' || text
        WHEN element_type = 'body' AND para_id % 9 = 1 THEN 'APP ' || CAST(para_id % 7 + 1 AS STRING) || ' — Open management'
        WHEN element_type = 'body' AND para_id % 9 = 4 THEN CAST(para_id % 7 + 1 AS STRING) || '.2 Further matters'
        WHEN element_type = 'body' AND para_id % 9 = 7 THEN CAST(para_id % 7 + 1 AS STRING) || 'A Application of rules'
        ELSE text END AS text,
-  CASE WHEN element_type = 'part' AND para_id % 4 = 1 THEN 'ActHead 1' WHEN para_id % 50 = 7 THEN 'TOC 2' ELSE raw_style END AS raw_style
+  CASE WHEN ord = 1 THEN 'TOC Heading' WHEN ord = 2 THEN 'TOC 1' WHEN ord <= 4 THEN 'Normal' WHEN element_type = 'part' AND para_id % 4 = 1 THEN 'ActHead 1' WHEN para_id % 50 = 7 THEN 'TOC 2' ELSE raw_style END AS raw_style
 FROM {once} WHERE act_id IS NOT NULL"""
 
+#: The same stream with definition sections, definitions, asterisked uses and references of every kind.
+FULL = """
+SELECT para_id, act_id, volume_index, pos, spans, table_rows, raw_style, element_type, number,
+  CASE WHEN element_type = 'section' AND para_id % 2 = 0 THEN 'Definitions' ELSE heading END AS heading,
+  CASE WHEN element_type IN ('subsec', 'para') AND para_id % 9 = 0 THEN '"personal information ' || CAST(para_id % 5 AS STRING) || '" means ' || text
+       WHEN element_type IN ('subsec', 'para') AND para_id % 9 = 1 THEN 'Court, in relation to a matter, means ' || text || ' (see section 5)'
+       WHEN element_type = 'subsec' AND para_id % 9 = 2 THEN 'lawyer means:'
+       WHEN element_type IN ('subsec', 'para') AND para_id % 9 = 3 THEN 'A *lawyer may hold *personal information 1 and *nothing else under section 8. ' || text
+       WHEN element_type = 'subsec' AND para_id % 9 = 4 THEN 'agency means any of the following:'
+       WHEN element_type IN ('subsec', 'para', 'note') THEN text || CASE para_id % 12
+         WHEN 0 THEN ' See s 6(1)(a) and s 16(2) of this Act.' WHEN 1 THEN ' Compare [note 3].' WHEN 2 THEN ' as defined in section 6(2) of this Act' WHEN 3 THEN ' under the Privacy Act 1988 & the Code'
+         WHEN 4 THEN ' sections 1A to 2A apply, but not Parts 1 to 99' WHEN 5 THEN ' "see section 5" is not meant' WHEN 6 THEN ' from 01/07/1995' WHEN 7 THEN ' within 28 days of 3 May 2001' ELSE '' END
+       ELSE text END AS text
+FROM ({stream})"""
+
 ONCE_SQL = "(SELECT DISTINCT ON (para_id) * FROM paragraphs)"
 
 
@@ -43,6 +59,10 @@ def once(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "paragraphs").dropDuplicates(["para_id"])
 
 
+def full(spark: SparkSession, d: str) -> DataFrame:
+    return spark.sql(FULL.replace("{stream}", STREAM), once=once(spark, d))
+
+
 def derive(spark: SparkSession, d: str, sql: str) -> DataFrame:
     return spark.sql(sql, once=once(spark, d))
 

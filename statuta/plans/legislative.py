@@ -8,6 +8,7 @@ from statuta.functions.patterns import re2
 from statuta.operators import amendments as am
 from statuta.operators import annotate as an
 from statuta.operators import corpus as co
+from statuta.operators import markup as mu
 from statuta.operators import terms as te
 from statuta.plans import structural as sn
 from statuta.plans.derived import DEFINING, ENDNOTES_SQL, NAMES_SQL, REFERRING_SQL, derive, duck, endnotes, names, referring
@@ -160,7 +161,7 @@ def asterisk_refs(spark, d):
     return te.asterisk_refs(_defining(spark, d), _registry(spark, d))
 
 
-@query(f"""SELECT a.act_id, n - coalesce(r, 0) AS n FROM (SELECT act_id, sum(len(regexp_extract_all(text, '\\*[A-Za-z]'))) AS n FROM ({duck(DEFINING)}) WHERE contains(text, '*') GROUP BY act_id) a
+@query(f"""SELECT a.act_id, n - coalesce(r, 0) AS n FROM (SELECT act_id, sum(len(regexp_extract_all(text, '\\*[A-Za-z]'))) AS n FROM ({duck(DEFINING)}) WHERE contains(text, '*') AND len(coalesce({_FMT}, [])) = 0 GROUP BY act_id) a
 LEFT JOIN (SELECT act_id, count(*) AS r FROM ({_STARS}) WHERE regexp_matches(show_as, '^[A-Za-z]') GROUP BY act_id) b USING (act_id)""")
 def asterisk_unresolved(spark, d):
     """A12."""
@@ -181,17 +182,19 @@ def completed_definitions(spark, d):
 _HAS = {n: " OR ".join(f"regexp_matches(text, {p.re2})" for p in ps) for n, ps in (("qty", an.QUANTITIES), ("date", an.DATES), ("role", an.ROLES))}
 
 
-@query(f"""SELECT para_id, CASE WHEN defines AND {_NOT_BLOCKS} AND d IS NOT NULL THEN 'term' WHEN defines AND {_NOT_BLOCKS} AND ({_LD}) IS NOT NULL THEN 'listdef' WHEN len(coalesce({_FMT}, [])) > 0 THEN 'fmt'
- WHEN regexp_matches(text, {re2(r'\*\w')}) THEN 'ast' WHEN {_HAS['qty']} THEN 'qty' WHEN {_HAS['date']} THEN 'date' WHEN {_HAS['role']} THEN 'role' END AS claim FROM {_WITH_DEF}""")
+_CLAIMS = f"""SELECT para_id, act_id, text, CASE WHEN defines AND {_NOT_BLOCKS} AND d IS NOT NULL THEN 'term' WHEN para_id IN (SELECT para_id FROM ({_LISTS})) THEN 'listdef' WHEN len(coalesce({_FMT}, [])) > 0 THEN 'fmt'
+ WHEN para_id IN (SELECT para_id FROM ({_STARS})) THEN 'ast' WHEN {_HAS['qty']} THEN 'qty' WHEN {_HAS['date']} THEN 'date' WHEN {_HAS['role']} THEN 'role' END AS claim FROM {_WITH_DEF}"""
+
+
+@query(f"SELECT para_id, claim FROM ({_CLAIMS})")
 def annotation_claims(spark, d):
     """The order of the passes: which one may mark up a paragraph."""
-    return claims(_defining(spark, d))
+    return claims(_defining(spark, d)).select("para_id", "claim")
 
 
 def claims(rows):
-    s = te.with_section(rows)
-    here = F.col("defines") & ~F.col("element_type").isin(te._BLOCKS)
-    return an.claims(s, here & te.definition(F.col("text"), F.col("spans")).isNotNull(), here & te.list_definition(F.col("text")).isNotNull())
+    t = mu.told(rows)
+    return mu.claimed(t, mu.registry(t))
 
 
 # --- amendments -------------------------------------------------------------------------------------------------------

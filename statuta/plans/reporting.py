@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statuta.functions.patterns import re2
+from statuta.functions.patterns import all_matches, leftmost, re2, sql_leftmost, sql_matches
 from statuta.operators import amendments as am
 from statuta.operators import annotate as an
+from statuta.operators import corpus as co
+from statuta.operators import markup as mu
 from statuta.operators import quality as qu
 from statuta.operators import render as re_
 from statuta.operators import structure as st
 from statuta.operators.corpus import YEAR_AT_END
 from statuta.plans import legislative as lg
 from statuta.plans import structural as sn
-from statuta.plans.derived import REFERRING_SQL, STREAM, derive, referring
+from statuta.plans.derived import STREAM, derive, endnotes, full
+from statuta.session import settled
 from statuta.sources.tables import table
 
 Q: dict = {}
@@ -42,34 +45,43 @@ _N = ", ".join(f"count(*) FILTER (region = 'body' AND element_type = '{t}') AS {
 
 @query(sn._REGIONS + f"""SELECT act_id, count(DISTINCT volume_index) AS volumes_fetched, count(*) FILTER (region = 'preface') AS preface_paras, coalesce(max(schedule_no), 0)::BIGINT AS schedules_found, {_N},
  count(*) FILTER (region = 'body' AND element_type IN ('subsec', 'para', 'subpara') AND coalesce(raw_style, '') NOT IN ('Body Text', 'List Paragraph')) AS style_fallbacks, count(*) FILTER ({_FMT}) AS inline_formatted FROM g GROUP BY act_id""")
-def parse_report(spark, d):
+def structural_counts(spark, d):
     """Structural counters of each Act."""
     return qu.structural_counts(st.regions(_stream(spark, d)))
 
 
+def _documents(spark, d):
+    """The build of all Acts, from one stream with everything in it."""
+    rows = settled(st.regions(settled(st.resolve_ambiguous(full(spark, d)))))
+    acts = table(spark, d, "acts").dropDuplicates(["title_id"])
+    # Endnotes stand under reports; here they belong to the Act of their report.
+    of = table(spark, d, "parse_reports").select("report_id", F.upper(F.trim("title_id")).alias("title")).where("title <> ''").dropDuplicates(["report_id"])
+    ev = am.events(am.provisions_filled(endnotes(spark, d))).withColumnRenamed("act_id", "report_id").join(of, "report_id").withColumnRenamed("title", "act_id").drop("report_id")
+    return mu.documents(rows, acts, co.citation_index(table(spark, d, "corpus_index").dropDuplicates(["entry_id"])), settled(ev, "events"), "2000-01-01")
+
+
+@query()
+def parse_report(spark, d):
+    """One report with every counter per Act; no SQL, its parts are compared in structural_counts, annotation_report and others, the whole in the tests."""
+    return _documents(spark, d)["report"]
+
+
 @query(sn._REGIONS + "SELECT act_id, list(text ORDER BY pos) AS schedule_names FROM g WHERE region = 'schedule' AND head GROUP BY act_id")
 def schedule_names(spark, d):
     """A1: schedule_names."""
     return qu.schedule_names(st.regions(_stream(spark, d)))
 
 
-_CLAIM = f"CASE WHEN {_FMT} THEN 'fmt' WHEN regexp_matches(text, {re2(r'\*\w')}) THEN 'ast' WHEN {lg._HAS['qty']} THEN 'qty' WHEN {lg._HAS['date']} THEN 'date' WHEN {lg._HAS['role']} THEN 'role' END"
 _KINDS = {"quantities_found": ("qty", an.QUANTITIES), "dates_found": ("date", an.DATES), "roles_found": ("role", an.ROLES)}
-_COUNTS = ", ".join(f"count(*) FILTER (metric = '{k}') AS {k}" for k in [*_KINDS, "refs_found", "note_refs_injected"])
+_COUNTS = ", ".join(f"coalesce(sum(CASE WHEN claim = '{c}' THEN len({sql_leftmost(sql_matches('text', ps))}) END), 0)::BIGINT AS {k}" for k, (c, ps) in _KINDS.items())
 
 
-@query(f"""SELECT act_id, {_COUNTS} FROM ({" UNION ALL ".join(f"SELECT t.act_id, '{k}' AS metric FROM ({sn._spans_sql(ps, 'starts_at')}) s JOIN {REFERRING_SQL} t USING (para_id) WHERE ({_CLAIM}) = '{c}'" for k, (c, ps) in _KINDS.items())}
- UNION ALL SELECT t.act_id, 'refs_found' FROM ({sn._REFS_SQL}) s JOIN {REFERRING_SQL} t USING (para_id) UNION ALL SELECT t.act_id, 'note_refs_injected' FROM ({sn._spans_sql([an.NOTE_REF], 'starts_at')}) s JOIN {REFERRING_SQL} t USING (para_id)) GROUP BY act_id""")
+@query(f"SELECT act_id, {_COUNTS} FROM ({lg._CLAIMS}) GROUP BY act_id")
 def annotation_report(spark, d):
     """A1: counters of annotations, each in the paragraphs that it may mark up."""
-    r = referring(spark, d)
-    acts = r.select("para_id", "act_id")
-    claims = an.claims(r, F.lit(False), F.lit(False))
-    made = {"quantities_found": an.quantities(r), "dates_found": an.dates(r), "roles_found": an.roles(r)}
-    parts = {k: qu.claimed_counts(v, claims, _KINDS[k][0], acts) for k, v in made.items()}
-    for k, v in (("refs_found", an.references(r)), ("note_refs_injected", an.note_refs(r))):
-        parts[k] = v.join(acts, "para_id").groupBy("act_id").agg(F.count(F.lit(1)).alias("n"))
-    return qu.report(parts)
+    n = lambda ps: F.size(leftmost(all_matches(F.col("text"), ps)))
+    c = lg.claims(lg._defining(spark, d))
+    return c.groupBy("act_id").agg(*[F.coalesce(F.sum(F.when(F.col("claim") == k, n(ps))), F.lit(0)).cast("bigint").alias(name) for name, (k, ps) in _KINDS.items()])
 
 
 _SIG = f"(SELECT a.act_id, coalesce(s.signature, '') AS signature FROM (SELECT DISTINCT act_id FROM {_ST}) a LEFT JOIN (SELECT act_id, string_agg(raw_style, '|' ORDER BY raw_style) AS signature FROM (SELECT DISTINCT act_id, raw_style FROM {_ST} WHERE raw_style IS NOT NULL AND raw_style NOT IN ('Normal', 'Body Text', 'Default')) GROUP BY act_id) s USING (act_id))"
@@ -148,11 +160,8 @@ def _failures(spark, d):
     reports = p.join(qu.latest_reports(p), ["title_id", "report_id"]).withColumnRenamed("title_id", "act_id")
     s = _stream(spark, d)
     # Dates and events are looked for in the given paragraphs and events: the derived ones leave some out.
-    # Of the Acts whose report counts dates, section rows and rows with a date suffice: who may mark a row up follows from the last section before it.
-    dated = F.greatest(*[F.col("text").rlike(p_.java).cast("int") for p_ in an.DATES]) == 1
-    rows = table(spark, d, "paragraphs").where((F.col("element_type") == "section") | dated).join(reports.where("dates_found > 0").select("act_id"), "act_id", "left_semi")
-    given = rows.dropDuplicates(["para_id"]).withColumnRenamed("ord", "pos").select("para_id", "act_id", "pos", "element_type", "number", "heading", "text", "spans")
-    dates = lg.claims(given).where("claim = 'date'").join(given.where(dated).select("para_id", "act_id"), "para_id")
+    given = table(spark, d, "paragraphs").where("act_id IS NOT NULL").dropDuplicates(["para_id"]).withColumnRenamed("ord", "pos").select("para_id", "act_id", "pos", "element_type", "number", "heading", "text", "spans")
+    dates = lg.claims(given).where("claim = 'date'").select("act_id")
     events = table(spark, d, "amendment_events").withColumnRenamed("report_id", "act_id")
     life = am.lifecycle(events).select(F.col("act_id").alias("report_id")).distinct().join(reports.select("report_id", "act_id").distinct(), "report_id")
     made = {"dates present": dates, "lifecycle present": life, "temporalData present": life}
@@ -228,10 +237,9 @@ def browse_nodes(spark, d):
 
 
 @query()
-def akn_fragments(spark, d):
-    """The body of each Act as XML fragments; that they are well-formed is tested."""
-    s = _stream(spark, d)
-    return re_.fragments(s, st.hierarchy(s))
+def akn_acts(spark, d):
+    """Each Act as annotated XML, in ordered fragments; that they parse as one document and hold what the relations hold is tested."""
+    return _documents(spark, d)["fragments"]
 
 
 @query()

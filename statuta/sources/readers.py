@@ -49,7 +49,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def stored_xml(spark: SparkSession, path: str) -> DataFrame:
     """path, section_eids, dates, subsection_eids of stored documents, by XPath that is blind to namespaces; a broken file gives nulls."""
-    t = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
+    t = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
     ok = t.where(F.col("value").contains("</akomaNtoso>"))
     x = lambda p: F.xpath("value", F.lit(p))
     read = ok.select("path", x("//section/@eId").alias("section_eids"), x("//FRBRWork/FRBRdate/@date").alias("dates"), x("//subsection/@eId").alias("subsection_eids"))

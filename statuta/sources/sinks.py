@@ -22,9 +22,9 @@ def reports(df: DataFrame, path: str) -> None:
 
 
 def akn(fragments: DataFrame, path: str) -> None:
-    """Fragments in reading order, by ranges of (Act, place): consecutive files make up an Act, and a large one has several."""
-    df = fragments.withColumn("__at", F.coalesce("pos", F.lit(2**62)))
-    df.repartitionByRange("act_id", "__at").sortWithinPartitions("act_id", "__at").drop("__at").write.mode("overwrite").parquet(path)
+    """Each Act as one text file below act_id=…, its fragments one after another; they are streamed, never held together."""
+    df = fragments.repartition("act_id").sortWithinPartitions("act_id", "part", "ord")
+    df.select("act_id", "xml").write.mode("overwrite").option("lineSep", "\n").partitionBy("act_id").text(path)
 
 
 def site(acts: DataFrame, paragraphs: DataFrame, path: str) -> None:

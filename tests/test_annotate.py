@@ -49,14 +49,3 @@ def test_dates_quantities_roles_notes(spark):
 def test_places_are_code_points(spark):
     r = a.dates(frame(spark, "🌾 é 1 July 1995")).first()
     assert "🌾 é 1 July 1995"[r.starts_at : r.ends_at] == "1 July 1995" == r.matched
-
-
-def test_splice(spark):
-    df = frame(spark, "a < b within 3 days & c").withColumn("f", a.leftmost(a.all_matches(F.col("text"), a.QUANTITIES)))
-    assert df.select(a.splice(F.col("text"), F.col("f"), F.lit('<q to="{kind}">'), "</q>").alias("x")).first().x == 'a &lt; b <q to="deadline">within 3 days</q> &amp; c'
-
-
-def test_claims(spark):
-    rows = [(1, "A", "the Minister on 1 July 1995", "", None), (2, "A", "the Minister", "", [("the ", False, True, False, False)]), (3, "A", None, "", None)]
-    got = {r.para_id: r.claim for r in a.claims(spark.createDataFrame(rows, SCHEMA), F.lit(False), F.lit(False)).collect()}
-    assert got == {1: "date", 2: "fmt", 3: None}

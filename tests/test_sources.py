@@ -50,10 +50,17 @@ def test_docx(spark, folder):
 
 def test_build(spark, folder):
     empty = spark.createDataFrame([], "name STRING, frbr_uri STRING, title_id STRING")
-    made = api.build(api.paragraph_stream(spark, folder), empty)
+    acts = spark.createDataFrame([("some-act", "Some Act 1999", 1999, 3, date(2020, 1, 1), "act", ["tax law"])], "title_id STRING, name STRING, year INT, number INT, effective_date DATE, doc_type STRING, subject_keywords ARRAY<STRING>")
+    events = spark.createDataFrame([("some-act", 1, 0, 0, "s 6", "am", 5, 2001, True, "am. No. 5, 2001")], "act_id STRING, row_ord BIGINT, seg_no INT, num_no INT, provision STRING, effect STRING, act_number INT, act_year INT, applied BOOLEAN, raw_text STRING")
+    made = api.build(api.paragraph_stream(spark, folder), empty, acts, events, "2024-01-01")
     assert {r.eid for r in made["nodes"].collect()} == {"sec-6", "sec-6__subsec-1", "sec-1"}
     assert {r.region for r in made["regions"].collect()} == {"body"}
     assert made["references"].count() == 0
+    sinks.akn(made["xml"], folder + "/xml")
+    got = {r.path.split("act_id=")[1].split("/")[0]: r for r in readers.stored_xml(spark, folder + "/xml").collect()}
+    assert got["some-act"].section_eids == ["sec-6"] and got["some-act"].dates == ["1999-01-01"] and got["old-act"].section_eids == ["sec-1"]
+    report = {r.act_id: r for r in made["report"].collect()}["some-act"]
+    assert (report.subsections_parsed, report.tables_found, report.figures_found, report.amendment_events_parsed, report.mods_resolved, report.inline_formatted) == (1, 1, 1, 1, 1, 1)
 
 
 def test_files(spark, tmp_path):

@@ -114,17 +114,6 @@ def test_schedule_items(spark, kinds):
     assert got == schedule_walk(items)
 
 
-def test_fragments_are_well_formed(spark):
-    rows = [("part", "1"), ("section", "6"), ("subsec", "1", "a & b < c"), ("para", "a", "x"), ("note", "", "n"), ("section", "7"), ("level4", "A", "q"), ("table", ""), ("part", "2"), ("body", "", "end")]
-    st_ = stream(spark, rows)
-    f = render.fragments(st_, s.hierarchy(st_)).orderBy(F.col("pos").asc_nulls_last()).collect()
-    root = ET.fromstring("<body>" + "".join(r.xml for r in f) + "</body>")
-    assert [p.get("eId") for p in root] == ["part-1", "part-2"]
-    assert root.find(".//paragraph").get("eId") == "part-1__sec-6__subsec-1__para-a"
-    assert root.find(".//subsection/content/p").text == "a & b < c"
-    assert root.find(".//hcontainer[@name='level4']").get("eId") == "part-1__sec-7__level4-a"
-
-
 def test_empty_streams(spark):
     e = spark.createDataFrame([], SCHEMA)
     for f in (s.hierarchy, s.regions, s.quotes, s.block_lists, s.content_groups, s.resolve_ambiguous, s.table_cells):
