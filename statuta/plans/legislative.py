@@ -235,7 +235,7 @@ def lifecycle_events(spark, d):
 
 
 @query(f"""WITH e AS (SELECT *, 'sec-' || nullif(regexp_extract(provision, {re2(am.PROVISION, True)}, 1), '') AS cand FROM ({_EVENTS}) WHERE applied),
-k AS (SELECT DISTINCT report_id AS act_id, CASE WHEN event_id % 2 = 0 THEN 'sec-' ELSE 'SEC-' END || nullif(regexp_extract(provision, {re2(am.PROVISION, True)}, 1), '') AS eid FROM amendment_events WHERE event_id % 3 > 0),
+k AS (SELECT DISTINCT report_id AS act_id, CASE WHEN event_id % 2 = 0 THEN 'sec-' ELSE 'SEC-' END || nullif(regexp_extract(provision, {re2(am.PROVISION, True)}, 1), '') AS eid FROM amendment_events),
 x AS (SELECT e.act_id, (row_ord * 10000 + seg_no * 100 + num_no)::BIGINT AS ord, effect, provision, coalesce((SELECT max(eid) FROM k WHERE k.act_id = e.act_id AND k.eid = cand), (SELECT min(eid) FROM k WHERE k.act_id = e.act_id AND lower(k.eid) = lower(cand))) AS dest_eid, l.event_eid
   FROM e LEFT JOIN ({_LIFE}) l ON l.act_id = e.act_id AND l.act_number = e.act_number AND l.act_year = e.act_year)
 SELECT act_id, ord, CASE WHEN dest_eid IS NOT NULL AND event_eid IS NOT NULL THEN count(*) FILTER (dest_eid IS NOT NULL AND event_eid IS NOT NULL) OVER (PARTITION BY act_id ORDER BY ord) END AS mod_no,
@@ -386,11 +386,13 @@ def merge_orphans(spark, d):
     return _merged(spark, d)[1]
 
 
-@query(f"""WITH b AS (SELECT slug, title_id, name, aliases FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY entry_id) AS r FROM {_ENTRIES} WHERE title_id IS NOT NULL AND name IS NOT NULL AND entry_id % 2 = 0) WHERE r = 1),
-i AS (SELECT slug, title_id, name, aliases FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY entry_id) AS r, row_number() OVER (PARTITION BY title_id ORDER BY slug, entry_id) AS t FROM {_ENTRIES} WHERE title_id IS NOT NULL AND name IS NOT NULL AND entry_id % 2 = 1) WHERE r = 1 AND t = 1),
-o AS (SELECT i.slug, list_distinct(flatten(list(list_concat([b.name], coalesce(b.aliases, []))))) AS old FROM b JOIN i ON b.title_id = i.title_id AND b.slug <> i.slug GROUP BY i.slug)
-SELECT slug, title_id, name, list_sort(coalesce(aliases, [])) AS aliases FROM b WHERE slug NOT IN (SELECT slug FROM i) AND title_id NOT IN (SELECT title_id FROM i)
-UNION ALL SELECT i.slug, title_id, name, list_sort(list_distinct(list_filter(list_concat(coalesce(aliases, []), coalesce(old, [])), lambda x: x <> name))) FROM i LEFT JOIN o ON o.slug = i.slug""")
+# A fold over the entries in order: each takes the place of the entry of its slug and of those of its title, and keeps the names of the latter.
+_INCOMING = f"(SELECT list({{'slug': slug, 'title_id': title_id, 'name': name, 'aliases': coalesce(aliases, [])}} ORDER BY entry_id) AS es FROM {_ENTRIES} WHERE title_id IS NOT NULL AND name IS NOT NULL)"
+
+
+@query(f"""SELECT e.slug AS slug, e.title_id AS title_id, e.name AS name, e.aliases AS aliases FROM (SELECT unnest(list_reduce(list_concat([es[:0]], list_transform(es, lambda x: [x])), lambda kept, x:
+  list_concat(list_filter(kept, lambda k: k.slug <> x[1].slug AND k.title_id <> x[1].title_id), [{{'slug': x[1].slug, 'title_id': x[1].title_id, 'name': x[1].name,
+    'aliases': list_sort(list_distinct(list_filter(list_concat(x[1].aliases, flatten(list_transform(list_filter(kept, lambda k: k.title_id = x[1].title_id AND k.slug <> x[1].slug), lambda k: list_concat([k.name], k.aliases)))), lambda a: a <> x[1].name)))}}]))) AS e FROM {_INCOMING})""")
 def index_upsert(spark, d):
     """All entries come in, in the order of their ids."""
     e = _entries(spark, d).where("title_id IS NOT NULL AND name IS NOT NULL")
@@ -422,7 +424,8 @@ def is_current(spark, d):
     return co.currency(_acts(spark, d).select(co.safe_name(F.col("name")).alias("slug"), "comp_num"), e)
 
 
-@query(f"""SELECT DISTINCT xml_path AS path FROM corpus_index WHERE xml_path NOT LIKE '%.json' AND xml_path NOT LIKE 'xml/a%' AND xml_path NOT IN (SELECT xml_path FROM corpus_index WHERE entry_id % 2 = 0 AND xml_path IS NOT NULL AND xml_path NOT LIKE 'xml/a%')""")
+@query(_MERGE + f"""SELECT DISTINCT xml_path AS path FROM corpus_index WHERE xml_path NOT LIKE '%.json' AND xml_path NOT LIKE 'xml/a%'
+ AND xml_path NOT IN (SELECT xml_path FROM {_ENTRIES} WHERE xml_path IS NOT NULL AND entry_id NOT IN (SELECT entry_id FROM j WHERE NOT lone AND entry_id <> keep))""")
 def orphan_files(spark, d):
     """Of the files of all entries, those that no entry left after merging titles has."""
     e = _entries(spark, d).select(F.col("xml_path").alias("path"), "entry_id")

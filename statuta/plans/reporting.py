@@ -15,7 +15,7 @@ from statuta.operators import structure as st
 from statuta.operators.corpus import YEAR_AT_END
 from statuta.plans import legislative as lg
 from statuta.plans import structural as sn
-from statuta.plans.derived import STREAM, derive, endnotes, full
+from statuta.plans.derived import DEFINING, STREAM, derive, duck, endnotes, full
 from statuta.session import settled
 from statuta.sources.tables import table
 
@@ -150,7 +150,7 @@ def latest_reports(spark, d):
 
 
 _ACT = "(SELECT DISTINCT ON (title_id) title_id AS act_id, * EXCLUDE (title_id) FROM acts)"
-_LATEST = "(SELECT p.title_id AS act_id, any_value(volumes_fetched) AS volumes_fetched, any_value(subsections_parsed) AS subsections_parsed FROM parse_reports p JOIN (SELECT title_id, arg_max(report_id, {'b': built_at, 'r': report_id}) AS report_id FROM parse_reports GROUP BY title_id) l USING (report_id, title_id) GROUP BY p.title_id)"
+_LATEST = "(SELECT p.title_id AS act_id, any_value(volumes_fetched) AS volumes_fetched, any_value(subsections_parsed) AS subsections_parsed, any_value(dates_found) AS dates_found, any_value(amendment_events_parsed) AS amendment_events_parsed, any_value(report_id) AS report_id FROM parse_reports p JOIN (SELECT title_id, arg_max(report_id, {'b': built_at, 'r': report_id}) AS report_id FROM parse_reports GROUP BY title_id) l USING (report_id, title_id) GROUP BY p.title_id)"
 _NODES = f"(SELECT act_id, element_type, eid FROM ({sn._hier(sn._ST)}))"
 
 
@@ -170,8 +170,13 @@ def _failures(spark, d):
     return qu.node_checks(st.hierarchy(s), acts, reports, acts.limit(0), made, st.numbered(s, "note", "note"), xml)
 
 
+_GIVEN = "SELECT para_id, act_id, ord AS pos, element_type, number, heading, text, spans, raw_style FROM " + sn.ONCE_SQL + " WHERE act_id IS NOT NULL"
+_DATED = f"(SELECT act_id FROM ({lg._CLAIMS.replace(duck(DEFINING), _GIVEN)}) WHERE claim = 'date')"
+_LIVED = "(SELECT report_id FROM amendment_events WHERE act_number IS NOT NULL AND act_year IS NOT NULL AND report_id IS NOT NULL)"
 _CHECKS = f"""(SELECT act_id, unnest(list_filter([CASE WHEN effective_date IS NULL THEN 'date' END, CASE WHEN number IS NULL THEN 'number' END, CASE WHEN coalesce(doc_type, '') <> 'act' THEN 'subtype' END, CASE WHEN coalesce(flat, 0) > 0 THEN 'subsections nested' END,
- CASE WHEN coalesce(volumes_fetched, 0) < 1 THEN 'volumes' END, CASE WHEN coalesce(subsections_parsed, 0) > 0 AND coalesce(n_subsecs, 0) = 0 THEN 'subsections present' END, CASE WHEN coalesce(n_sections, 0) = 0 AND NOT coalesce(number % 10 = 0, false) THEN 'sections' END], lambda x: x IS NOT NULL)) AS check
+ CASE WHEN coalesce(volumes_fetched, 0) < 1 THEN 'volumes' END, CASE WHEN coalesce(subsections_parsed, 0) > 0 AND coalesce(n_subsecs, 0) = 0 THEN 'subsections present' END, CASE WHEN coalesce(n_sections, 0) = 0 THEN 'sections' END,
+ CASE WHEN coalesce(dates_found, 0) > 0 AND act_id NOT IN {_DATED} THEN 'dates present' END, CASE WHEN coalesce(amendment_events_parsed, 0) > 0 AND r.report_id NOT IN {_LIVED} THEN 'lifecycle present' END,
+ CASE WHEN coalesce(amendment_events_parsed, 0) > 0 AND r.report_id NOT IN {_LIVED} THEN 'temporalData present' END], lambda x: x IS NOT NULL)) AS check
 FROM {_ACT} a LEFT JOIN (SELECT act_id, count(*) FILTER (element_type = 'subsec' AND NOT contains(eid, '__subsec-')) AS flat, count(*) FILTER (element_type = 'section' AND eid <> '') AS n_sections, count(*) FILTER (element_type = 'subsec') AS n_subsecs FROM {_NODES} GROUP BY act_id) n USING (act_id) LEFT JOIN {_LATEST} r USING (act_id))"""
 
 
