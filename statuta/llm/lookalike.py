@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statuta.functions.skew import SALT, hot_keys, salt_few, salt_many
 from statuta.session import scratch
 
 # Latin letters and the letters of other scripts that are drawn alike, Latin first.
@@ -30,6 +31,10 @@ _TO_LATIN = {other: group[0] for group in LOOKALIKES for other in group[1:]}
 _GROUP = {c: group for group in LOOKALIKES for c in group}
 #: Decompositions that a reader can't see: width, no-break forms, ligatures and letter signs made of several letters.
 _UNSEEN = {"<wide>", "<narrow>", "<small>", "<noBreak>", "<vertical>"}
+#: Rules by which a token is suspect, the preferred first, and how its repaired form is known: it stands in the corpus, or two spellings share it.
+MIXED, TOWARDS_TEXT, FOREIGN = 0, 1, 2
+STANDS, SHARED = 0, 1
+ROWS_PER_TASK = 200_000
 #: A token is a run of letters and marks.
 _TOKEN = re.compile(r"(?:[^\W\d_]|[̀-ͯ])+")
 TOKEN_SQL = r"[\p{L}\p{M}]+"
@@ -97,14 +102,15 @@ def _into(token: str, target: str) -> str | None:
 
 
 def suspects(text: str) -> tuple[list[tuple[str, str, int]], list[str]]:
-    """(tokens that may be repaired, their repaired form, its preference; all other tokens) of a unified text.
+    """(tokens that may be repaired, their repaired form, by which rule; all other tokens) of a unified text.
 
     A token with letters of several scripts is suspect towards its dominant
-    script (preference 0) and, where that is another, towards that of the rest
-    of the text (preference 1), since a word may have most of its letters
-    replaced. So is a token wholly of another script than the rest of its text
-    if each of its letters has a look-alike there: it mixes scripts with its
-    neighbours.
+    script (MIXED) and, where that is another, towards that of the rest of the
+    text (TOWARDS_TEXT), since a word may have most of its letters replaced. So
+    is a token wholly of another script than the rest of its text if each of its
+    letters has a look-alike there (FOREIGN): it mixes scripts with its
+    neighbours. Only the first is the method as named; repairs_by_rule tells
+    what each adds.
     """
     found: set[tuple[str, str, int]] = set()
     clean: set[str] = set()
@@ -119,7 +125,7 @@ def suspects(text: str) -> tuple[list[tuple[str, str, int]], list[str]]:
         whole = _scripts(text) if whole is None else whole
         around = _dominant(whole - Counter({k: n * times for k, n in scripts.items()}))
         targets = dict.fromkeys([own, around] if mixed else [around] if own and own != around else [])
-        forms = [(f, n) for n, t in enumerate(t for t in targets if t) if (f := _into(token, t)) is not None and f != token]
+        forms = [(f, FOREIGN if not mixed else MIXED if t == own else TOWARDS_TEXT) for t in targets if t and (f := _into(token, t)) is not None and f != token]
         if forms:
             found.update((token, f, n) for f, n in forms)
         elif not mixed:
@@ -172,18 +178,8 @@ def field_values(paragraphs: DataFrame) -> DataFrame:
     return texts.unionByName(spans).where(F.col("value").rlike(r"(?U)\S"))
 
 
-def one_form(paragraphs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(plain, cared): values that are in the one form as they stand (field_name, para_id, form), and the others brought
-    into it (field_name, para_id, raw_hash, form).
-
-    Plain ASCII never leaves the JVM. The rest is unified in Python and written
-    once; of its suspect tokens those are repaired whose repaired form stands in
-    the corpus vocabulary, that is as an unmixed token anywhere in the corpus, or
-    else as the common reading of two different mixed spellings (then the clean
-    word needn't stand anywhere). The vocabulary meets the suspects in a join whose
-    side of suspects Spark broadcasts only if it measures it as small; nothing
-    comes to the driver. A paragraph without suspects isn't shuffled.
-    """
+def _read(paragraphs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(plain values, unified other values with their suspect tokens, repairs: token, fixed, kind, pref)."""
     spark = paragraphs.sparkSession
     values = field_values(paragraphs.select("para_id", "text", "spans"))
     plain = values.where(~needs_care(F.col("value"))).withColumnRenamed("value", "form")
@@ -198,18 +194,51 @@ def one_form(paragraphs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .unionByName(unified.select(F.explode("tokens").alias("fixed")))
         .distinct()
     )
-    stands = words.join(wanted.select("fixed"), "fixed", "left_semi").select("fixed", F.lit(0).alias("kind"))
-    attested = stands.unionByName(wanted.where("n > 1").select("fixed", F.lit(1).alias("kind")))
-    good = pairs.join(attested, "fixed").groupBy("token").agg(F.min_by("fixed", F.struct("kind", "pref", "fixed")).alias("fixed"))
-    fixes = (
-        unified.select("field_name", "para_id", "raw_hash", F.explode("fixes").alias("f")).select("field_name", "para_id", "raw_hash", "f.token")
-        .distinct().join(good, "token").groupBy("field_name", "para_id", "raw_hash").agg(F.collect_list(F.struct("token", "fixed")).alias("good"))
-    )
+    stands = words.join(wanted.select("fixed"), "fixed", "left_semi").select("fixed", F.lit(STANDS).alias("kind"))
+    attested = stands.unionByName(wanted.where("n > 1").select("fixed", F.lit(SHARED).alias("kind")))
+    good = pairs.join(attested, "fixed").groupBy("token").agg(F.min(F.struct("kind", "pref", "fixed")).alias("g")).select("token", "g.fixed", "g.kind", "g.pref")
+    return plain, unified, good
+
+
+def _met(unified: DataFrame, good: DataFrame) -> DataFrame:
+    """field_name, para_id, raw_hash and the repair of each suspect token that has one; tokens of very many values are spread over several tasks."""
+    asked = unified.select("field_name", "para_id", "raw_hash", F.explode("fixes").alias("f")).select("field_name", "para_id", "raw_hash", "f.token").distinct()
+    hot = hot_keys(asked, ["token"], ROWS_PER_TASK)
+    return salt_many(asked, hot, ["token"], ["para_id"]).join(salt_few(good, hot, ["token"]), ["token", SALT]).drop(SALT)
+
+
+def one_form(paragraphs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(plain, cared): values that are in the one form as they stand (field_name, para_id, form), and the others brought
+    into it (field_name, para_id, raw_hash, form).
+
+    Plain ASCII never leaves the JVM. The rest is unified in Python and written
+    once; of its suspect tokens those are repaired whose repaired form stands in
+    the corpus vocabulary, that is as an unmixed token anywhere in the corpus, or
+    else as the common reading of two different mixed spellings (then the clean
+    word needn't stand anywhere). The vocabulary meets the suspects in a join whose
+    side of suspects Spark broadcasts only if it measures it as small; nothing
+    comes to the driver. A paragraph without suspects isn't shuffled.
+    """
+    plain, unified, good = _read(paragraphs)
+    fixes = _met(unified, good).groupBy("field_name", "para_id", "raw_hash").agg(F.collect_list(F.struct("token", "fixed")).alias("good"))
     clean = unified.where("size(fixes) = 0").select("field_name", "para_id", "raw_hash", "form")
     mended = _repaired(unified.where("size(fixes) > 0").join(fixes, ["field_name", "para_id", "raw_hash"], "left"))
     return plain, clean.unionByName(mended)
 
 
+def repairs_by_rule(paragraphs: DataFrame) -> DataFrame:
+    """rule, n_tokens, n_values: how many different tokens, and in how many values, each rule repairs.
+
+    'mixed' is the named method: a token of several scripts, towards its own
+    dominant one, whose result stands in the corpus. 'towards the text' and
+    'foreign' take the script of the rest of the text, 'shared reading' has its
+    result from another mixed spelling.
+    """
+    _, unified, good = _read(paragraphs)
+    rule = F.when(F.col("kind") == SHARED, "shared reading").when(F.col("pref") == MIXED, "mixed").when(F.col("pref") == TOWARDS_TEXT, "towards the text").otherwise("foreign")
+    return _met(unified, good).groupBy(rule.alias("rule")).agg(F.countDistinct("token").alias("n_tokens"), F.countDistinct("field_name", "para_id").alias("n_values"))
+
+
 def normalised(paragraphs: DataFrame) -> DataFrame:
     """field_name, para_id, form: every text and every joined span text in the one form.
 
@@ -250,9 +279,12 @@ def alike_pairs(paragraphs: DataFrame) -> DataFrame:
     """field_name, para_id_a, para_id_b (a < b): paragraphs whose values read the same and aren't the same string.
 
     Copies of one string aren't paired with each other. Values meet by two
-    64-bit hashes of their form, after classes of a single spelling are gone.
+    64-bit hashes of their form, after classes of a single spelling are gone. A
+    very large class is shared by several tasks.
     """
-    rows = _members(paragraphs)
-    a, b = rows.alias("a"), rows.alias("b")
-    met = F.expr("a.field_name = b.field_name AND a.key = b.key AND a.raw <> b.raw AND a.para_id < b.para_id")
+    rows = _members(paragraphs).select("field_name", "key.*", "raw", "para_id").toDF("field_name", "k1", "k2", "raw", "para_id")
+    keys = ["field_name", "k1", "k2"]
+    hot = hot_keys(rows, keys, ROWS_PER_TASK // 20)
+    a, b = salt_many(rows, hot, keys, ["para_id"]).alias("a"), salt_few(rows, hot, keys).alias("b")
+    met = F.expr(" AND ".join(f"a.{k} = b.{k}" for k in [*keys, SALT]) + " AND a.raw <> b.raw AND a.para_id < b.para_id")
     return a.join(b, met).select("a.field_name", F.col("a.para_id").alias("para_id_a"), F.col("b.para_id").alias("para_id_b"))

@@ -28,6 +28,11 @@ def p2_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.normalised(table(spark, d, "paragraphs"))
 
 
+def p2_repairs(spark: SparkSession, d: str) -> DataFrame:
+    """How many tokens and values each rule of repair mends."""
+    return lookalike.repairs_by_rule(table(spark, d, "paragraphs"))
+
+
 def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     """Numbered pieces of paragraphs beyond 1,200 characters."""
     return split.split_long(table(spark, d, "paragraphs"), "para_id", "text", ["eid"])
@@ -104,7 +109,7 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return truncated.cut_share(_told(spark, d))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_classes, p2_forms, p5_found, p5_pieces, p6_found, p6_consensus, p6_survivors, p7_ids, p8_pack, p8_filling, p8_lengths, p9_found, p9_report)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_classes, p2_forms, p2_repairs, p5_found, p5_pieces, p6_found, p6_consensus, p6_survivors, p7_ids, p8_pack, p8_filling, p8_lengths, p9_found, p9_report)}
 
 _SPACE = r"[\s\x{000B}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 # Stand-ins for no value, written apart from those of the operator.
