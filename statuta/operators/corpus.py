@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 
 from statuta.functions.patterns import java
 from statuta.functions.text import extract, strip
+from statuta.session import settled
 
 # Forms of title ids, and titles of little value to a reader.
 NUMBER_IN_ID = [r"C\d{4}A(\d+)", r"C\d{4}R(\d+)", r"F\d{4}[A-Z](\d+)"]
@@ -116,7 +117,7 @@ def merge_titles(entries: DataFrame, canonical: DataFrame) -> tuple[DataFrame, D
     c = canonical.select("title_id", F.col("name").alias("canonical")).dropDuplicates(["title_id"])
     e = entries.select("entry_id", "title_id", "name", "slug", "xml_path", "aliases").where("title_id IS NOT NULL").join(c, "title_id", "left")
     per = e.groupBy("title_id").agg(F.count(F.lit(1)).alias("n"), F.min_by("entry_id", F.struct(F.coalesce(F.col("name") != F.col("canonical"), F.lit(True)), "entry_id")).alias("keep"), F.coalesce(F.bool_or(F.col("name") == F.col("canonical")), F.lit(False)).alias("found"))
-    j = e.join(per, "title_id")
+    j = settled(e.join(per, "title_id"), "titles")
     lone = (F.col("n") == 1) | ~F.col("found")
     keeps = lone | (F.col("entry_id") == F.col("keep"))
     others = (

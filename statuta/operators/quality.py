@@ -135,9 +135,9 @@ def log_failures(lines: DataFrame) -> DataFrame:
 
 def trial_summary(results: DataFrame) -> DataFrame:
     """One row: n, n_non_empty, rate, top_error, max_error_share of a conversion trial (error, non_empty_body)."""
-    total = results.agg(F.count(F.lit(1)).alias("n"), F.count_if("non_empty_body").alias("n_non_empty"))
-    errors = results.where("error IS NOT NULL").groupBy("error").agg(F.count(F.lit(1)).alias("c")).agg(F.max_by("error", F.struct("c", "error")).alias("top_error"), F.max("c").alias("c"))
-    both = total.withColumn("k", F.lit(1)).join(errors.withColumn("k", F.lit(1)), "k", "left")  # one row with one row
+    each = results.groupBy("error").agg(F.count(F.lit(1)).alias("k"), F.count_if("non_empty_body").alias("filled"))
+    is_error = F.col("error").isNotNull()
+    both = each.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"), F.coalesce(F.sum("filled"), F.lit(0)).alias("n_non_empty"), F.max_by("error", F.when(is_error, F.struct("k", "error"))).alias("top_error"), F.max(F.when(is_error, F.col("k"))).alias("c"))
     return both.select("n", "n_non_empty", F.round(F.col("n_non_empty") / F.col("n"), 6).alias("rate"), "top_error", F.round(F.coalesce("c", F.lit(0)) / F.col("n"), 6).alias("max_error_share"))
 
 

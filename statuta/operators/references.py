@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from statuta.session import settled
 from statuta.functions.skew import SALT, hot_keys, salt_few, salt_many
 
 #: Rows of one key that one task may take; a key with more is spread.
@@ -78,6 +79,7 @@ def dangling_report_rows(events: DataFrame, reports: DataFrame, acts: DataFrame,
         acts.select(F.col("number").alias("k1"), F.col("year").alias("k2"), *[c.alias(n) for n, c in being.items()]),
         ["k1", "k2"], rows_per_task,
     )
+    of_events = settled(of_events, "dangling")  # few, and told and counted
     of_reports = dangling(
         reports.select(title_key(F.col("title_id")).alias("k1"), F.col("report_id").alias("row_id"), F.col("built_at").alias("at")),
         acts.select(title_key(F.col("title_id")).alias("k1"), *[c.alias(n) for n, c in being.items()]),

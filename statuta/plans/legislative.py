@@ -12,6 +12,7 @@ from statuta.operators import markup as mu
 from statuta.operators import terms as te
 from statuta.plans import structural as sn
 from statuta.plans.derived import DEFINING, ENDNOTES_SQL, NAMES_SQL, REFERRING_SQL, derive, duck, endnotes, names, referring
+from statuta.session import settled
 from statuta.sources.tables import table
 
 Q: dict = {}
@@ -128,16 +129,14 @@ def list_definitions(spark, d):
 _REG = f"SELECT act_id, term_eid, arg_max(show_as, pos) AS show_as, '/ontology/term/au/' || term_eid AS href FROM (SELECT act_id, pos, term_eid, show_as FROM ({_DEFS}) UNION ALL SELECT act_id, pos, term_eid, show_as FROM ({_LISTS})) GROUP BY act_id, term_eid"
 
 
-def _registry(spark, d):
-    s = _defining(spark, d)
-    cols = ["act_id", "pos", "term_eid", "show_as"]
-    return te.term_registry(te.definitions(s).select(*cols).unionByName(te.list_definitions(s).select(*cols)))
+def _told(spark, d):
+    return mu.told(_defining(spark, d))
 
 
 @query(_REG)
 def term_registry(spark, d):
     """A5, J4 of terms: the last definition of an identifier wins."""
-    return _registry(spark, d)
+    return mu.registry(_told(spark, d))
 
 
 @query(f"SELECT act_id, count(*) AS terms_found, count(*) - count(DISTINCT term_eid) AS duplicate_terms FROM ({_DEFS}) GROUP BY act_id")
@@ -158,15 +157,16 @@ _STARS = f"""SELECT act_id, para_id, starts_at, term_eid, show_as FROM (
 @query(_STARS)
 def asterisk_refs(spark, d):
     """F26, J8, W16."""
-    return te.asterisk_refs(_defining(spark, d), _registry(spark, d))
+    t = _told(spark, d)
+    return te.asterisk_refs(t, settled(mu.registry(t), "terms"))
 
 
 @query(f"""SELECT a.act_id, n - coalesce(r, 0) AS n FROM (SELECT act_id, sum(len(regexp_extract_all(text, '\\*[A-Za-z]'))) AS n FROM ({duck(DEFINING)}) WHERE contains(text, '*') AND len(coalesce({_FMT}, [])) = 0 GROUP BY act_id) a
 LEFT JOIN (SELECT act_id, count(*) AS r FROM ({_STARS}) WHERE regexp_matches(show_as, '^[A-Za-z]') GROUP BY act_id) b USING (act_id)""")
 def asterisk_unresolved(spark, d):
     """A12."""
-    s = _defining(spark, d)
-    return te.unresolved_asterisks(s, te.asterisk_refs(s, _registry(spark, d)))
+    t = _told(spark, d)
+    return te.unresolved_asterisks(t, te.asterisk_refs(t, settled(mu.registry(t), "terms")))
 
 
 @query(f"""WITH r AS (SELECT *, {_LD} AS l, element_type IN ('para', 'list-item') AS listed FROM {_WITH_DEF} WHERE element_type NOT IN ('note', 'example', 'penalty', 'subpara')),
@@ -194,7 +194,7 @@ def annotation_claims(spark, d):
 
 def claims(rows):
     t = mu.told(rows)
-    return mu.claimed(t, mu.registry(t))
+    return mu.claimed(t, settled(mu.registry(t), "terms"))
 
 
 # --- amendments -------------------------------------------------------------------------------------------------------

@@ -157,7 +157,7 @@ _NODES = f"(SELECT act_id, element_type, eid FROM ({sn._hier(sn._ST)}))"
 def _failures(spark, d):
     acts = table(spark, d, "acts").dropDuplicates(["title_id"]).withColumnRenamed("title_id", "act_id")
     p = table(spark, d, "parse_reports")
-    reports = p.join(qu.latest_reports(p), ["title_id", "report_id"]).withColumnRenamed("title_id", "act_id")
+    reports = settled(p.join(qu.latest_reports(p), ["title_id", "report_id"]).withColumnRenamed("title_id", "act_id"), "reports")
     s = _stream(spark, d)
     # Dates and events are looked for in the given paragraphs and events: the derived ones leave some out.
     given = table(spark, d, "paragraphs").where("act_id IS NOT NULL").dropDuplicates(["para_id"]).withColumnRenamed("ord", "pos").select("para_id", "act_id", "pos", "element_type", "number", "heading", "text", "spans")
@@ -247,7 +247,28 @@ def akn_acts(spark, d):
     return _documents(spark, d)["fragments"]
 
 
-@query()
+def _frbr(tag: str, value: str) -> str:
+    return f"'<{tag} value=\"' || {_esc(value)} || '\"/>'"
+
+
+_WORK, _EXPR = lg._URI, f"{lg._URI} || '/eng@' || strftime(effective_date, '%Y-%m-%d')"
+_AUTHOR = "'<FRBRauthor href=\"#parliament\"/>'"
+
+
+def _made(day: str) -> str:
+    return f"'<FRBRdate date=\"' || {day} || '\" name=\"Generation\"/>'"
+
+
+_META = " || ".join([
+    "'<identification source=\"#source\"><FRBRWork>'", _frbr("FRBRthis", f"({_WORK} || '/!main')"), _frbr("FRBRuri", f"({_WORK})"), _made("year || '-01-01'"), _AUTHOR, "'<FRBRcountry value=\"au\"/>'", _frbr("FRBRsubtype", "coalesce(doc_type, 'act')"),
+    _frbr("FRBRnumber", "number::VARCHAR"), _frbr("FRBRname", "translate(lower(name), ' /', '--')"), "'<FRBRprescriptive value=\"true\"/><FRBRauthoritative value=\"true\"/></FRBRWork><FRBRExpression>'", _frbr("FRBRthis", f"({_EXPR} || '/!main')"),
+    _frbr("FRBRuri", f"({_EXPR})"), _made("strftime(effective_date, '%Y-%m-%d')"), _AUTHOR, "'<FRBRlanguage language=\"eng\"/></FRBRExpression><FRBRManifestation>'", _frbr("FRBRthis", f"({_EXPR} || '/!main.akn')"), _frbr("FRBRuri", f"({_EXPR} || '/!main.akn')"),
+    _made("'2000-01-01'"), "'<FRBRauthor href=\"#source\"/></FRBRManifestation></identification>'",
+])
+_KEYWORD = f"'<keyword value=\"' || {_esc("replace(lower(k), ' ', '-')")} || '\" showAs=\"' || {_esc('k')} || '\" dictionary=\"#register\"/>'"
+
+
+@query(f"SELECT title_id, {_META} || CASE WHEN len(subject_keywords) > 0 THEN '<classification source=\"#register\">' || array_to_string(list_transform(subject_keywords, lambda k: {_KEYWORD}), '') || '</classification>' ELSE '' END AS xml FROM {lg._ACTS}")
 def akn_metadata(spark, d):
     """T1."""
     return re_.metadata_xml(table(spark, d, "acts").dropDuplicates(["title_id"]), "2000-01-01")

@@ -8,6 +8,7 @@ from statuta.functions.patterns import re2, sql_leftmost, sql_matches
 from statuta.operators import annotate as an
 from statuta.operators import classify as cl
 from statuta.operators import structure as st
+from statuta.session import settled
 from statuta.plans.derived import ONCE_SQL, RAW, REFERRING_SQL, STREAM, derive, duck, once, referring
 
 Q: dict = {}
@@ -222,13 +223,30 @@ def para_ambiguity(spark, d):
  AND ((element_type = 'body' AND ({_m(st.APP_CLAUSE)} OR (NOT {_m(st.SUBCLAUSE)} AND {_m(st.CLAUSE)}))) OR (element_type = 'section' AND number <> '' AND NOT contains(number, '.'))) GROUP BY act_id, schedule_no""")
 def schedule_clause_counts(spark, d):
     """A3."""
-    return st.schedule_items(_regions(spark, d)).where("kind = 'clause'").groupBy("act_id", "schedule_no").agg(F.count(F.lit(1)).alias("n_clauses"))
-
-
-@query()
+    return st.schedule_items(settled(_regions(spark, d), "regions")).where("kind = 'clause'").groupBy("act_id", "schedule_no").agg(F.count(F.lit(1)).alias("n_clauses"))
+
+
+_SI = f"""i0 AS (SELECT act_id, schedule_no, para_id, pos, number AS num0, nullif(heading, '') AS h0, nullif(text, '') AS t0, s, element_type AS et, CASE
+   WHEN element_type = 'body' AND s <> '' AND {_m(st.APP_CLAUSE)} THEN 'app' WHEN element_type = 'body' AND s <> '' AND {_m(st.SUBCLAUSE)} THEN 'dotted' WHEN element_type = 'body' AND s <> '' AND {_m(st.CLAUSE)} THEN 'clause'
+   WHEN element_type = 'section' AND number <> '' AND contains(number, '.') THEN 'sdotted' WHEN element_type = 'section' AND number <> '' THEN 'sclause' WHEN element_type = 'subsec' AND number <> '' THEN 'sub'
+   WHEN element_type = 'para' THEN 'para' WHEN element_type = 'subpara' THEN 'subpara' END AS o FROM (SELECT *, {_strip("coalesce(text, '')")} AS s FROM g) WHERE region = 'schedule' AND NOT head),
+i1 AS (SELECT *, CASE WHEN o IN ('app', 'clause', 'sclause') THEN 'clause' WHEN o IN ('dotted', 'sdotted', 'sub') THEN 'subclause' ELSE o END AS kind,
+   CASE o WHEN 'app' THEN {_x(st.APP_CLAUSE, 1)} WHEN 'dotted' THEN {_x(st.SUBCLAUSE, 1)} WHEN 'clause' THEN {_x(st.CLAUSE, 1)} ELSE num0 END AS num,
+   CASE o WHEN 'app' THEN {_x(st.APP_CLAUSE, 2)} WHEN 'clause' THEN {_x(st.CLAUSE, 2)} WHEN 'sclause' THEN h0 WHEN 'sdotted' THEN h0 END AS heading,
+   CASE o WHEN 'dotted' THEN {_x(st.SUBCLAUSE, 2)} WHEN 'sub' THEN t0 WHEN 'para' THEN t0 WHEN 'subpara' THEN t0 END AS text,
+   count(*) FILTER (o IN ('app', 'clause', 'sclause')) OVER (PARTITION BY act_id, schedule_no ORDER BY pos) AS nth FROM i0 WHERE o IS NOT NULL),
+i2 AS (SELECT *, CASE WHEN o = 'app' THEN 'clause-' || nth WHEN kind = 'subclause' THEN 'subclause-' || replace(num, '.', '-') ELSE kind || '-' || num END AS step FROM i1),
+i3 AS (SELECT *, last_value(CASE WHEN kind = 'clause' THEN {{'p': pos, 's': step}} END IGNORE NULLS) OVER w AS c, last_value(CASE WHEN o IN ('dotted', 'sdotted') THEN {{'p': pos, 's': step}} END IGNORE NULLS) OVER w AS sc,
+   last_value(CASE WHEN o = 'para' THEN {{'p': pos, 's': step}} END IGNORE NULLS) OVER w AS pa, last_value(CASE WHEN kind IN ('clause', 'subclause') THEN pos END IGNORE NULLS) OVER w AS x
+   FROM i2 WINDOW w AS (PARTITION BY act_id, schedule_no ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+i4 AS (SELECT *, concat_ws('__', 'schedule-' || schedule_no, CASE WHEN kind <> 'clause' THEN c.s END, CASE WHEN kind <> 'clause' AND o NOT IN ('dotted', 'sdotted') AND (c IS NULL OR sc.p > c.p) THEN sc.s END,
+   CASE WHEN kind = 'subpara' AND (x IS NULL OR pa.p > x) THEN pa.s END) AS parent_eid FROM i3)"""
+
+
+@query(_REGIONS + f", {_SI} SELECT act_id, schedule_no, para_id, pos, kind, num, heading, text, concat_ws('__', parent_eid, step) AS eid, parent_eid FROM i4")
 def schedule_items(spark, d):
-    """The items of schedules with identifiers; no SQL, checked against a direct walk in the tests."""
-    return st.schedule_items(_regions(spark, d))
+    """The items of schedules with identifiers; also checked against a direct walk in the tests."""
+    return st.schedule_items(settled(_regions(spark, d), "regions"))
 
 
 @query(_REGIONS + f"""SELECT act_id, schedule_no, coalesce(nullif(regexp_replace(regexp_replace(text, {re2(cl.SCHEDULE_HEADING, True)}, ''), '^[—– -]+', ''), ''), text) AS heading FROM g WHERE region = 'schedule' AND head""")

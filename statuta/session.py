@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SHARED: dict[str, str] = {}
+_RELEASED_AT_EXIT: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,6 +39,27 @@ def settled(df: DataFrame, label: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+def _own(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/statuta-{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in a part of it that belongs to this application and is deleted when it ends."""
+    at = _own(spark)
+    if at not in _RELEASED_AT_EXIT:
+        _RELEASED_AT_EXIT.add(at)
+        atexit.register(_release, spark, at)
+    return f"{at}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes every table that scratch and settled wrote for this application. Relations built on them can't be read any more."""
+    _release(spark, _own(spark))
+
+
+def _release(spark: SparkSession, at: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the session may be gone before its last tables are; then only a local folder can still go
+        shutil.rmtree(at.removeprefix("file:"), ignore_errors=True)

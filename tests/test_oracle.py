@@ -1,5 +1,7 @@
 """Every query against its SQL on the smallest data, and the plans of the scans."""
 
+import re
+from collections import Counter
 from pathlib import Path
 from xml.etree import ElementTree as ET
 
@@ -27,6 +29,9 @@ def con():
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = Counter(re.findall(r"sf0.001/(\w+)\.parquet", plan))
+    assert max(scans.values(), default=0) <= 4 and "CartesianProduct" not in plan and "NestedLoop" not in plan, scans
     rows = [r.asDict(recursive=True) for r in df.collect()]
     if name == "akn_acts":
         acts = {}
