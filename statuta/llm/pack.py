@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CAPACITY = 2048
@@ -143,6 +144,6 @@ def filling(packed: DataFrame, lengths: tuple[int, ...] = LENGTHS, overhead: flo
     most, n = max(lengths), F.col("length")
     each = boxes.groupBy("length").agg(F.count(F.lit(1)).alias("n_containers"), F.sum("used").cast("bigint").alias("n_tokens"), F.round(F.sum("used") / F.sum("length"), 6).alias("share_used"))
     each = each.withColumn("cost", F.round(F.col("n_containers") * (n + overhead + attention * n * n / most), 3))
-    total = each.agg(F.sum("cost").alias("c"), F.sum("n_tokens").alias("t")).withColumn("k", F.lit(1))  # one row, met by a handful of lengths
-    bound = F.col("t") * least_price(1, lengths, overhead, attention)
-    return each.withColumn("k", F.lit(1)).join(total, "k").select(*each.columns, F.round(F.col("c") / bound, 6).alias("share_of_bound"))
+    all_ = W.partitionBy(F.lit(1))  # one row per permitted length
+    bound = F.sum("n_tokens").over(all_) * least_price(1, lengths, overhead, attention)
+    return each.select("*", F.round(F.sum("cost").over(all_) / bound, 6).alias("share_of_bound"))
