@@ -22,11 +22,11 @@ FROM {once} WHERE act_id IS NOT NULL"""
 #: A stream with prefaces, schedules, quoted structures, lists, clauses and figures, which the given paragraphs lack.
 STREAM = """
 SELECT para_id, act_id, volume_index, ord AS pos, spans, table_rows, eid AS given_eid,
-  CASE WHEN ord <= 4 THEN 'body' WHEN element_type = 'part' AND para_id % 4 = 1 THEN 'body' WHEN element_type = 'note' AND para_id % 3 = 0 THEN 'body'
+  CASE WHEN ord = 1 AND element_type = 'part' THEN 'body' WHEN element_type = 'part' AND para_id % 4 = 1 THEN 'body' WHEN element_type = 'note' AND para_id % 3 = 0 THEN 'body'
        WHEN element_type = 'body' AND para_id % 3 = 0 THEN 'list-item' WHEN element_type = 'penalty' AND para_id % 2 = 0 THEN 'figure' ELSE element_type END AS element_type,
   CASE WHEN element_type = 'body' AND para_id % 3 = 0 THEN CAST(para_id % 2 AS STRING) WHEN element_type = 'section' AND para_id % 6 = 0 THEN number || '.1' ELSE number END AS number,
   heading,
-  CASE WHEN ord = 1 THEN 'Contents' WHEN ord = 2 THEN '1  Short title' WHEN ord = 3 THEN 'WHEREAS the people agreed to unite' WHEN ord = 4 THEN 'The Parliament of Australia enacts:'
+  CASE WHEN ord = 1 AND element_type = 'part' THEN CASE para_id % 5 WHEN 0 THEN 'Contents' WHEN 1 THEN '1  Short title' WHEN 2 THEN 'WHEREAS the people agreed to unite' WHEN 3 THEN 'The Parliament of Australia enacts:' ELSE 'An Act to provide' END
        WHEN element_type = 'part' AND para_id % 4 = 1 THEN 'Schedule ' || CAST(para_id % 9 + 1 AS STRING) || '—' || coalesce(heading, '')
        WHEN element_type = 'note' AND para_id % 3 = 0 THEN '“'
        WHEN element_type = 'body' AND para_id % 3 = 0 THEN '(a) ' || text
@@ -34,7 +34,7 @@ SELECT para_id, act_id, volume_index, ord AS pos, spans, table_rows, eid AS give
        WHEN element_type = 'body' AND para_id % 9 = 4 THEN CAST(para_id % 7 + 1 AS STRING) || '.2 Further matters'
        WHEN element_type = 'body' AND para_id % 9 = 7 THEN CAST(para_id % 7 + 1 AS STRING) || 'A Application of rules'
        ELSE text END AS text,
-  CASE WHEN ord = 1 THEN 'TOC Heading' WHEN ord = 2 THEN 'TOC 1' WHEN ord <= 4 THEN 'Normal' WHEN element_type = 'part' AND para_id % 4 = 1 THEN 'ActHead 1' WHEN para_id % 50 = 7 THEN 'TOC 2' ELSE raw_style END AS raw_style
+  CASE WHEN ord = 1 AND element_type = 'part' THEN CASE para_id % 5 WHEN 0 THEN 'TOC Heading' WHEN 1 THEN 'TOC 1' ELSE 'Normal' END WHEN element_type = 'part' AND para_id % 4 = 1 THEN 'ActHead 1' WHEN para_id % 50 = 7 THEN 'TOC 2' ELSE raw_style END AS raw_style
 FROM {once} WHERE act_id IS NOT NULL"""
 
 #: The same stream with definition sections, definitions, asterisked uses and references of every kind.
