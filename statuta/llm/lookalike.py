@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statuta.functions.skew import SALT, hot_keys, salt_few, salt_many
-from statuta.session import scratch
+from statuta.session import scratch, settled
 
 # Latin letters and the letters of other scripts that are drawn alike, Latin first.
 LOOKALIKES = """
@@ -202,7 +202,7 @@ def _read(paragraphs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def _met(unified: DataFrame, good: DataFrame) -> DataFrame:
     """field_name, para_id, raw_hash and the repair of each suspect token that has one; tokens of very many values are spread over several tasks."""
-    asked = unified.select("field_name", "para_id", "raw_hash", F.explode("fixes").alias("f")).select("field_name", "para_id", "raw_hash", "f.token").distinct()
+    asked = unified.select("field_name", "para_id", "raw_hash", F.explode(F.array_distinct(F.transform("fixes", lambda x: x["token"]))).alias("token"))
     hot = hot_keys(asked, ["token"], ROWS_PER_TASK)
     return salt_many(asked, hot, ["token"], ["para_id"]).join(salt_few(good, hot, ["token"]), ["token", SALT]).drop(SALT)
 
@@ -234,6 +234,7 @@ def repairs_by_rule(paragraphs: DataFrame) -> DataFrame:
     'foreign' take the script of the rest of the text, 'shared reading' has its
     result from another mixed spelling.
     """
+    # A row delivered twice asks twice, which the counts of different tokens and values don't mind.
     _, unified, good = _read(paragraphs)
     rule = F.when(F.col("kind") == SHARED, "shared reading").when(F.col("pref") == MIXED, "mixed").when(F.col("pref") == TOWARDS_TEXT, "towards the text").otherwise("foreign")
     return _met(unified, good).groupBy(rule.alias("rule")).agg(F.countDistinct("token").alias("n_tokens"), F.countDistinct("field_name", "para_id").alias("n_values"))
@@ -282,7 +283,7 @@ def alike_pairs(paragraphs: DataFrame) -> DataFrame:
     64-bit hashes of their form, after classes of a single spelling are gone. A
     very large class is shared by several tasks.
     """
-    rows = _members(paragraphs).select("field_name", "key.*", "raw", "para_id").toDF("field_name", "k1", "k2", "raw", "para_id")
+    rows = settled(_members(paragraphs).select("field_name", "key.*", "raw", "para_id").toDF("field_name", "k1", "k2", "raw", "para_id"), "members")
     keys = ["field_name", "k1", "k2"]
     hot = hot_keys(rows, keys, ROWS_PER_TASK // 20)
     a, b = salt_many(rows, hot, keys, ["para_id"]).alias("a"), salt_few(rows, hot, keys).alias("b")
