@@ -95,3 +95,18 @@ def test_stream_equals_batch(spark, tmp_path):
     key = ["title_id", "name", "valid_from", "valid_to"]
     assert sorted(ChainStore(spark, str(tmp_path / "store")).history().select(*key).collect()) == sorted(whole.history().select(*key).collect())
     assert whole.history().where(F.col("valid_to") == "9999-12-31").count() == 2
+
+
+def test_corpus_folder(spark, tmp_path):
+    root = str(tmp_path / "corpus")
+    entry = "slug STRING, title_id STRING, name STRING, aliases ARRAY<STRING>, n BIGINT"
+    xml = lambda *slugs: spark.createDataFrame([(s, 0, i, f"<a>{s}{i}</a>") for s in slugs for i in range(2)], "act_id STRING, part INT, ord BIGINT, xml STRING")
+    assert sinks.corpus_index(spark, root).count() == 0
+    sinks.write_corpus(spark, root, spark.createDataFrame([("a-(x)", "T1", "A", ["z"], 1), ("b", "T2", "B", None, 2)], entry), xml("a-(x)", "b"), "n")
+    sinks.write_corpus(spark, root, spark.createDataFrame([("a2", "T1", "A2", [], 1)], entry), xml("a2"), "n")
+    got = {r.slug: (r.name, r.aliases, r.xml_version) for r in sinks.corpus_index(spark, root).collect()}
+    assert got == {"b": ("B", [], 1), "a2": ("A2", ["A", "z"], 2)}
+    assert ["a-(x)" in r.path or "a-%28x%29" in r.path for r in sinks.given_up(spark, root).collect()] == [True]
+    assert sinks.delete_given_up(spark, root) == 1 and sinks.given_up(spark, root).count() == 0
+    left = sorted((tmp_path / "corpus/xml").glob("version=*/act_id=*/part-*"))
+    assert [f.read_text() for f in left] == ["<a>b0</a>\n<a>b1</a>\n", "<a>a20</a>\n<a>a21</a>\n"]
