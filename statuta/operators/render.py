@@ -53,6 +53,26 @@ def browse_nodes(hierarchy: DataFrame, rows: DataFrame) -> DataFrame:
     return keep.join(rows.select("para_id", "number", "heading"), "para_id").select("act_id", "pos", _map(TAGS, F.col("element_type")).alias("tag"), "eid", F.coalesce("parent_eid", F.lit("")).alias("parent_eid"), F.coalesce("number", F.lit("")).alias("num"), F.coalesce("heading", F.lit("")).alias("heading"))
 
 
+#: Headings of a page by the element that they belong to.
+LEVELS = {"chapter": "h2", "part": "h3", "division": "h4", "subDivision": "h5", "section": "h6"}
+
+
+def act_pages(acts: DataFrame, nodes: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """act_id, ord, html: the page of each Act in ordered fragments: its name, the containers and sections, and the paragraphs of sections.
+
+    acts: act_id, name; nodes: the result of browse_nodes; paragraphs: of
+    html_paragraphs. An Act without nodes has a page with its name alone.
+    """
+    name = escape(F.col("name"))
+    head = acts.select("act_id", F.lit(-1).cast("bigint").alias("ord"), F.concat(F.lit('<!DOCTYPE html><html><head><meta charset="utf-8"><title>'), name, F.lit("</title></head><body><h1>"), name, F.lit("</h1>")).alias("html"))
+    tail = acts.select("act_id", F.lit(2**62).alias("ord"), F.lit("</body></html>").alias("html"))
+    level = _map(LEVELS, F.col("tag"))
+    titled = F.concat(F.lit("<"), level, F.lit(' id="'), escape(F.col("eid")), F.lit('">'), escape(F.concat_ws(" ", F.nullif("num", F.lit("")), F.nullif("heading", F.lit("")))), F.lit("</"), level, F.lit(">"))
+    of = acts.select("act_id")
+    rows = nodes.select("act_id", F.col("pos").alias("ord"), titled.alias("html")).unionByName(paragraphs.select("act_id", F.col("pos").alias("ord"), F.concat(F.lit("<p>"), "html", F.lit("</p>")).alias("html")))
+    return head.unionByName(tail).unionByName(rows.join(of, "act_id", "left_semi"))
+
+
 def act_links(acts: DataFrame, paths: DataFrame) -> DataFrame:
     """title_id, name, html: one line of the index page per Act, sorted by name."""
     html = F.concat(F.lit('<li><a href="'), escape(F.col("site_path")), F.lit('">'), escape(F.col("name")), F.lit("</a></li>"))

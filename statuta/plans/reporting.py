@@ -241,6 +241,21 @@ def browse_nodes(spark, d):
     return re_.browse_nodes(st.hierarchy(s), s)
 
 
+_LEVEL = "CASE tag " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in re_.LEVELS.items()) + " END"
+_TITLED = f"(SELECT title_id AS act_id, any_value(name) AS name FROM acts GROUP BY title_id)"
+
+
+@query(f"""SELECT act_id, -1::BIGINT AS ord, '<!DOCTYPE html><html><head><meta charset="utf-8"><title>' || {_esc('name')} || '</title></head><body><h1>' || {_esc('name')} || '</h1>' AS html FROM {_TITLED}
+UNION ALL SELECT act_id, 4611686018427387904, '</body></html>' FROM {_TITLED}
+UNION ALL SELECT act_id, pos, '<' || {_LEVEL} || ' id="' || {_esc('eid')} || '">' || {_esc("concat_ws(' ', nullif(num, ''), nullif(heading, ''))")} || '</' || {_LEVEL} || '>' FROM ({SQL['browse_nodes']}) WHERE act_id IN (SELECT act_id FROM {_TITLED})
+UNION ALL SELECT act_id, pos, '<p>' || html || '</p>' FROM ({SQL['html_paragraphs']}) WHERE act_id IN (SELECT act_id FROM {_TITLED})""")
+def act_pages(spark, d):
+    """The page of each Act, in ordered fragments."""
+    s = settled(_stream(spark, d), "stream")
+    a = table(spark, d, "acts").groupBy(F.col("title_id").alias("act_id")).agg(F.any_value("name").alias("name"))
+    return re_.act_pages(a, re_.browse_nodes(st.hierarchy(s), s), re_.html_paragraphs(s))
+
+
 @query()
 def akn_acts(spark, d):
     """Each Act as annotated XML, in ordered fragments; that they parse as one document and hold what the relations hold is tested."""

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.operators import corpus, quality, render
+from statuta.operators import corpus, quality, render, structure
+from statuta.session import settled
 
 
 def export_jsonl(entries: DataFrame, path: str) -> None:
@@ -77,10 +78,11 @@ def delete_given_up(spark: SparkSession, root: str) -> int:
 
 
 def site(acts: DataFrame, paragraphs: DataFrame, path: str) -> None:
-    """The index page's lines and the paragraphs of sections, each as sorted text or table files."""
+    """The index page's lines and one page per Act below act_id=…; paragraphs is the stream, its act_id the title_id of acts."""
     render.act_links(acts.select("title_id", "name"), corpus.site_paths(acts)).select("html").write.mode("overwrite").text(f"{path}/index")
-    html = render.html_paragraphs(paragraphs)
-    html.repartitionByRange("act_id", "pos").sortWithinPartitions("act_id", "pos").write.mode("overwrite").parquet(f"{path}/paragraphs")
+    s = settled(paragraphs, "stream")
+    pages = render.act_pages(acts.select(F.col("title_id").alias("act_id"), "name"), render.browse_nodes(structure.hierarchy(s), s), render.html_paragraphs(s))
+    pages.repartition("act_id").sortWithinPartitions("act_id", "ord").select("act_id", F.col("html").alias("value")).write.mode("overwrite").partitionBy("act_id").text(f"{path}/acts")
 
 
 def relevance_skim(df: DataFrame, path: str) -> None:

@@ -110,3 +110,13 @@ def test_corpus_folder(spark, tmp_path):
     assert sinks.delete_given_up(spark, root) == 1 and sinks.given_up(spark, root).count() == 0
     left = sorted((tmp_path / "corpus/xml").glob("version=*/act_id=*/part-*"))
     assert [f.read_text() for f in left] == ["<a>b0</a>\n<a>b1</a>\n", "<a>a20</a>\n<a>a21</a>\n"]
+
+
+def test_site(spark, tmp_path):
+    acts = spark.createDataFrame([("T1", "Tax & Levy Act 1999", 1999, 3), ("T2", "Empty Act 2000", 2000, 4)], "title_id STRING, name STRING, year INT, number INT")
+    rows = [(1, "T1", 1, "section", "6", "Title", "", None), (2, "T1", 2, "subsec", "1", "", "a < b", None), (3, "T9", 1, "section", "1", "Other", "", None)]
+    s = spark.createDataFrame(rows, "para_id BIGINT, act_id STRING, pos BIGINT, element_type STRING, number STRING, heading STRING, text STRING, spans ARRAY<STRUCT<text: STRING, bold: BOOLEAN, italic: BOOLEAN, superscript: BOOLEAN, subscript: BOOLEAN>>")
+    sinks.site(acts, s, str(tmp_path / "site"))
+    page = {f.parent.name: f.read_text() for f in (tmp_path / "site/acts").glob("act_id=*/part-*")}
+    assert set(page) == {"act_id=T1", "act_id=T2"} and page["act_id=T2"].count("\n") == 2
+    assert page["act_id=T1"].splitlines()[1:] == ['<h6 id="sec-6">6 Title</h6>', "<p>a &lt; b</p>", "</body></html>"] and "<h1>Tax &amp; Levy Act 1999</h1>" in page["act_id=T1"]
